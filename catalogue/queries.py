@@ -239,7 +239,7 @@ def merge_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_insert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows a merge of lineitem appends, as main sees them."""
     batch = hashed_lineitem(spark, sf_dir)
-    return merge_insert(batch, loaded(batch), insert_columns=LINEITEM.insert_columns)
+    return merge_insert(batch, loaded(batch), insert_columns=LINEITEM.insert_columns, alike=LINEITEM.identity)
 
 
 def merge_insert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,19 +248,20 @@ def merge_insert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_rerun_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     main = merge_insert_all(spark, sf_dir)
-    again = merge_insert(hashed_lineitem(spark, sf_dir), main, insert_columns=LINEITEM.insert_columns)
+    batch = hashed_lineitem(spark, sf_dir)
+    again = merge_insert(batch, main, insert_columns=LINEITEM.insert_columns, alike=LINEITEM.identity)
     return main.unionByName(again)
 
 
 def merge_keeps_batch_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = hashed_lineitem(spark, sf_dir)
-    return merge_insert(once.unionByName(once), loaded(once))
+    return merge_insert(once.unionByName(once), loaded(once), alike=LINEITEM.identity)
 
 
 def merge_null_target_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = hashed_lineitem(spark, sf_dir)
     older = F.when(F.col("l_returnflag") != "R", F.col("trip_hash"))
-    return merge_insert(batch, loaded(batch).withColumn("trip_hash", older))
+    return merge_insert(batch, loaded(batch).withColumn("trip_hash", older), alike=LINEITEM.identity)
 
 
 def merge_on_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

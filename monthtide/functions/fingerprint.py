@@ -32,8 +32,12 @@ def identity_json(columns: Sequence[str]) -> Column:
 
 
 def identity_hash(columns: Sequence[str]) -> Column:
-    """Lowercase hex SHA-256 of :func:`identity_json`; never NULL."""
-    return F.sha2(identity_json(columns), 256)
+    """Lowercase hex SHA-256 of :func:`identity_json`; never NULL.
+
+    The plan is told so, too: for a column that might be NULL, Spark adds a null
+    check to every join on it, and would hash each row again to evaluate it.
+    """
+    return F.coalesce(F.sha2(identity_json(columns), 256), F.lit(""))
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str], out: str = "trip_hash") -> DataFrame:

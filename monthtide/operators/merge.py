@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key with at least this share of the batch is heavy; there are at most
@@ -38,10 +38,6 @@ _FIRST = "_seen_first"
 _BEFORE_ALL = ""
 
 
-def _digest(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in columns])
-
-
 def _check_key_types(batch: DataFrame, main: DataFrame, keys: Sequence[str]) -> None:
     for key in keys:
         left, right = batch.schema[key].dataType, main.schema[key].dataType
@@ -51,7 +47,7 @@ def _check_key_types(batch: DataFrame, main: DataFrame, keys: Sequence[str]) ->
 
 def _seen_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys under their own names, so that a join never mixes up the sides."""
-    return df.select(*[F.col(k).alias(_SEEN + k) for k in keys]).dropna()
+    return df.select(*[F.col(k).alias(_SEEN + k) for k in keys])
 
 
 def first_seen(
@@ -67,9 +63,8 @@ def first_seen(
         return in_main.distinct()
     seen = in_main.withColumn(_FIRST, F.lit(_BEFORE_ALL))
     if rivals is not None:
-        names = [_SEEN + k for k in keys]
         in_batch = rivals.select(*[F.col(k).alias(_SEEN + k) for k in keys], F.col(order).alias(_FIRST))
-        seen = seen.unionByName(in_batch.dropna(subset=names))
+        seen = seen.unionByName(in_batch)
     return seen.groupBy(*[_SEEN + k for k in keys]).agg(F.min(_FIRST).alias(_FIRST))
 
 
@@ -97,17 +92,28 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE)
     )
 
 
-def unseen(rows: DataFrame, seen: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
-    """Rows without an entry in ``seen``, for sides of any size and skew."""
-    heavy = F.broadcast(heavy_keys(rows, keys))
-    seen_names = [_SEEN + k for k in keys]
-    is_heavy = _digest(keys) == F.col("_heavy")
-    was_heavy = _digest(seen_names) == F.col("_heavy")
-    # At most one seen entry per heavy hash, hence as bounded as the heavy list.
-    seen_heavy = F.broadcast(seen.join(heavy, was_heavy, "left_semi"))
+def unseen(
+    rows: DataFrame,
+    seen: DataFrame,
+    keys: Sequence[str],
+    order: str | None = None,
+    alike: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows without an entry in ``seen``, for sides of any size and skew.
+
+    ``alike`` names columns that are equal when the keys are, if these are
+    cheaper to read than a computed key.
+    """
+    probed = list(alike or keys)
+    heavy = F.broadcast(heavy_keys(rows, probed))
+    is_heavy = F.xxhash64(*[F.col(c) for c in probed]) == F.col("_heavy")
+    weighty = rows.join(heavy, is_heavy, "left_semi")
+    # One key per heavy hash, hence as bounded as the list of these.
+    names = [_SEEN + k for k in keys]
+    heavy_values = F.broadcast(_seen_keys(weighty, keys).distinct())
+    seen_heavy = F.broadcast(seen.join(heavy_values, names, "left_semi"))
     light = _anti(rows.join(heavy, is_heavy, "left_anti"), seen, keys, order)
-    weighty = _anti(rows.join(heavy, is_heavy, "left_semi"), seen_heavy, keys, order)
-    return light.unionByName(weighty)
+    return light.unionByName(_anti(weighty, seen_heavy, keys, order))
 
 
 def unseen_by_probe(
@@ -144,15 +150,17 @@ def merge_insert(
     keys: Sequence[str] = ("trip_hash",),
     insert_columns: Sequence[str] | None = None,
     order: str | None = None,
+    alike: Sequence[str] | None = None,
 ) -> DataFrame:
     """The rows a merge of ``batch`` into ``main`` appends, in main's columns.
 
     ``insert_columns`` lists what is filled in (default: all the batch has); the
-    rest is NULL. With ``order`` the batch holds several loads, see the module.
+    rest is NULL. With ``order`` the batch holds several loads, see the module;
+    for ``alike`` see :func:`unseen`.
     """
     _check_key_types(batch, main, keys)
     seen = first_seen(main, keys, batch if order is not None else None, order)
-    return _as_main(unseen(batch, seen, keys, order), main, insert_columns)
+    return _as_main(unseen(batch, seen, keys, order, alike), main, insert_columns)
 
 
 def new_keys(batch: DataFrame, main: DataFrame, keys: Sequence[str] = ("trip_hash",)) -> DataFrame:
