@@ -24,7 +24,7 @@ from catalogue.standins import (
     zoneless,
 )
 from monthtide import Config, catch_up, conform, fingerprint, gate, merge_insert, run, use_utc, work_folder
-from monthtide.functions import identity_json, month_in_zone, normalized, snake_case_columns
+from monthtide.functions import identity_json, in_month, month_in_zone, normalized, snake_case_columns
 from monthtide.operators import (
     add_column,
     append_rows,
@@ -58,8 +58,7 @@ def fingerprint_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shipped = F.col("l_shipdate")
-    return table(spark, sf_dir, "lineitem").where((F.year(shipped) == 1998) & (F.month(shipped) == 3))
+    return table(spark, sf_dir, "lineitem").where(in_month(F.col("l_shipdate"), "199803"))
 
 
 def month_in_time_zone(spark: SparkSession, sf_dir: str) -> DataFrame:

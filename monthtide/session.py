@@ -21,6 +21,20 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone is {zone!r}; call use_utc(spark) first")
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings for large loads; all may be changed at run time.
+
+    Shuffles start with several partitions per core, so that each fits in memory
+    however large the month is, and AQE merges those that turn out small.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    initial = max(4 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
+    return use_utc(spark)
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="monthtide-")

@@ -7,7 +7,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from monthtide.functions import month_in_zone, month_key, normalize_column_names, normalize_name, normalized, snake_case_columns
+from monthtide.functions import (
+    in_month,
+    month_in_zone,
+    month_key,
+    normalize_column_names,
+    normalize_name,
+    normalized,
+    snake_case_columns,
+)
 
 
 def test_snake_case(spark):
@@ -38,3 +46,19 @@ def test_month_keys(spark):
     df = spark.createDataFrame([(datetime(2025, 6, 30, 16, 0),), (None,)], "ts timestamp")
     rows = df.select(month_key(F.col("ts")).alias("utc"), month_in_zone(F.col("ts"), "Asia/Taipei").alias("there")).collect()
     assert [(r.utc, r.there) for r in rows] == [("202506", "202507"), ("000000", "000000")]
+
+
+@pytest.mark.parametrize("month, expected", [("199712", 2), ("199801", 1), ("199711", 0)])
+def test_in_month(spark, month, expected):
+    times = [(datetime(1997, 12, 1),), (datetime(1997, 12, 31, 23, 59, 59, 999999),), (datetime(1998, 1, 1),), (None,)]
+    for sql_type in ("timestamp", "timestamp_ntz"):
+        assert spark.createDataFrame(times, f"ts {sql_type}").where(in_month(F.col("ts"), month)).count() == expected
+    with pytest.raises(ValueError):
+        in_month(F.col("ts"), "199813")
+
+
+def test_in_month_reaches_the_reader(spark):
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plan = lineitem.where(in_month(F.col("l_shipdate"), "199803"))._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(l_shipdate" in pushed and "LessThan(l_shipdate" in pushed
