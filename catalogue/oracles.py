@@ -162,7 +162,9 @@ ORACLES: dict[str, str] = {
             from landed group by 1)
         select 'lineitem' as kind, load_month, case when rows_new > 0 then 'loaded' else 'skipped' end as status,
                rows_read, rows_new, 1::integer as fingerprint_version
-        from counted""",
+        from counted
+        union all
+        select 'orders', strftime(o_orderdate, '%Y%m'), 'loaded', count(*), count(*), 1 from orders group by 2""",
     "stream_catch_up": f"""
         select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, null::varchar as o_orderpriority,
                {_hash(ORDERS.identity)} as trip_hash, strftime(o_orderdate, '%Y%m') as load_id,

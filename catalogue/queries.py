@@ -245,11 +245,18 @@ def merge_insert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(hashed_lineitem(spark, sf_dir)).unionByName(merge_insert_rows(spark, sf_dir))
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` read back from a written table, which also cuts its lineage."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def merge_rerun_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    main = merge_insert_all(spark, sf_dir)
-    batch = hashed_lineitem(spark, sf_dir)
-    again = merge_insert(batch, main, insert_columns=LINEITEM.insert_columns, alike=LINEITEM.identity)
-    return main.unionByName(again)
+    batch = _stored(hashed_lineitem(spark, sf_dir), "batch")
+    new = merge_insert(batch, loaded(batch), insert_columns=LINEITEM.insert_columns)
+    main = _stored(loaded(batch).unionByName(new), "main")
+    return main.unionByName(merge_insert(batch, main, insert_columns=LINEITEM.insert_columns))
 
 
 def merge_keeps_batch_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +287,7 @@ def _land(rows: DataFrame, kind: str, month: str, folder: str) -> None:
     """Write one folder of part files per month, named as a landed asset."""
     name = F.format_string(f"{kind}_tripdata_%s.parquet", F.date_format(month, "yyyy-MM"))
     assets = rows.withColumn("asset", name).drop("_closing")
-    assets.hint("rebalance", "asset").write.partitionBy("asset").parquet(folder)
+    assets.hint("rebalance", "asset").write.mode("append").partitionBy("asset").parquet(folder)
 
 
 def _config(spark: SparkSession, purpose: str) -> Config:
@@ -298,10 +305,14 @@ def _land_lineitem(spark: SparkSession, sf_dir: str, config: Config) -> None:
     _land(on_time.unionByName(again), "lineitem", "_closing", config.landing)
 
 
+def _land_orders(spark: SparkSession, sf_dir: str, config: Config) -> None:
+    _land(table(spark, sf_dir, "orders"), "orders", "o_orderdate", config.landing)
+
+
 def _span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    row = table(spark, sf_dir, "lineitem").agg(F.min("l_shipdate").alias("lo"), F.max("l_shipdate").alias("hi")).first()
-    following = row.hi.year * 12 + row.hi.month + 1
-    return f"{row.lo:%Y-%m}", f"{following // 12:04d}-{following % 12 + 1:02d}"
+    """First and last month any of the landed files may be for."""
+    bounds = _spans(spark, sf_dir).agg(F.min("first").alias("first"), F.add_months(F.max("last"), 2).alias("last")).first()
+    return f"{bounds['first']:%Y-%m}", f"{bounds['last']:%Y-%m}"
 
 
 def monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,9 +324,11 @@ def monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report of a run over two kinds at once."""
     config = _config(spark, "report")
     _land_lineitem(spark, sf_dir, config)
-    report = run(spark, [LINEITEM], config, *_span(spark, sf_dir))
+    _land_orders(spark, sf_dir, config)
+    report = run(spark, [LINEITEM, ORDERS], config, *_span(spark, sf_dir))
     return report.where("reason is null or reason <> 'missing'").select(
         "kind", "load_month", "status", "rows_read", "rows_new", "fingerprint_version"
     )
@@ -323,7 +336,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "stream")
-    _land(table(spark, sf_dir, "orders"), "orders", "o_orderdate", config.landing)
+    _land_orders(spark, sf_dir, config)
     catch_up(spark, [ORDERS], config, f"{config.root}/checkpoint").awaitTermination()
     return zoneless(spark.table(f"{config.database}.{ORDERS.main_table}"))
 

@@ -1,6 +1,16 @@
 """The merge and the table operators."""
 
-from monthtide.operators.merge import first_seen, has_new, heavy_keys, merge_insert, new_keys, unseen, unseen_by_probe
+from monthtide.operators.merge import (
+    first_seen,
+    has_new,
+    heavy_keys,
+    merge_insert,
+    new_keys,
+    unseen,
+    unseen_among_few,
+    unseen_among_many,
+    unseen_by_probe,
+)
 from monthtide.operators.tables import (
     add_column,
     append_rows,
@@ -33,5 +43,7 @@ __all__ = [
     "partitions",
     "replace_partition",
     "unseen",
+    "unseen_among_few",
+    "unseen_among_many",
     "unseen_by_probe",
 ]

@@ -116,6 +116,31 @@ def unseen(
     return light.unionByName(_anti(weighty, seen_heavy, keys, order))
 
 
+def unseen_among_many(
+    rows: DataFrame,
+    main: DataFrame,
+    keys: Sequence[str],
+    rivals: DataFrame | None = None,
+    order: str | None = None,
+) -> DataFrame:
+    """Rows that neither ``main`` nor an earlier load in ``rivals`` has."""
+    return unseen(rows, first_seen(main, keys, rivals, order), keys, order)
+
+
+def unseen_among_few(
+    rows: DataFrame,
+    main: DataFrame,
+    keys: Sequence[str],
+    rivals: DataFrame | None = None,
+    order: str | None = None,
+) -> DataFrame:
+    """The same for a main and rivals *known by count* to be small.
+
+    Their keys are broadcast; ``rows`` are not shuffled, whatever their size.
+    """
+    return _anti(rows, F.broadcast(first_seen(main, keys, rivals, order)), keys, order)
+
+
 def unseen_by_probe(
     rows: DataFrame,
     main: DataFrame,
@@ -123,17 +148,17 @@ def unseen_by_probe(
     rivals: DataFrame | None = None,
     order: str | None = None,
 ) -> DataFrame:
-    """As :func:`unseen` for a batch *known by count* to be small.
+    """The same for ``rows`` *known by count* to be small.
 
-    The keys of the batch go to the executors and main is filtered where it
-    lies, so a large main is scanned but not shuffled.
+    Their keys are broadcast to where main lies, so that a large main is scanned
+    but not shuffled.
     """
     wanted = F.broadcast(rows.select(*keys).distinct())
     in_main = main.select(*keys).join(wanted, list(keys), "left_semi")
     if rivals is not None:
         rivals = rivals.select(*keys, order).join(wanted, list(keys), "left_semi")
-    seen = first_seen(in_main, keys, rivals, order)
-    return _anti(rows, F.broadcast(seen), keys, order)
+    # No more keys than there were in ``rows``.
+    return unseen_among_few(rows, in_main, keys, rivals, order)
 
 
 def _as_main(new: DataFrame, main: DataFrame, insert_columns: Sequence[str] | None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthtide.kinds import Kind
+from monthtide.session import no_rows
 
 LOAD_MONTH = "load_month"
 LOAD_ID = "load_id"
@@ -55,8 +56,8 @@ def ensure_table(
     spark.sql(statement)
     if partitioned_by:
         # Appending nothing makes sure that the folder is there to be listed.
-        no_rows = spark.createDataFrame([], T.StructType([*schema, *partition_fields]))
-        no_rows.write.mode("append").partitionBy(*partitioned_by).parquet(location)
+        nothing = no_rows(spark, T.StructType([*schema, *partition_fields]))
+        nothing.write.mode("append").partitionBy(*partitioned_by).parquet(location)
         spark.catalog.recoverPartitions(table)
     return True
 
@@ -114,7 +115,7 @@ def clear_partition(spark: SparkSession, table: str, spec: dict[str, str]) -> No
     """Delete the rows of one partition (every partition column given)."""
     where = ", ".join(f"`{c}` = '{v}'" for c, v in spec.items())
     data_columns = [c for c in spark.table(table).columns if c not in spec]
-    empty = spark.createDataFrame([], spark.table(table).select(*data_columns).schema)
+    empty = no_rows(spark, spark.table(table).select(*data_columns).schema)
     spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({where}) SELECT * FROM {{empty}}", empty=empty)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -35,6 +39,23 @@ def tune(spark: SparkSession) -> SparkSession:
     return use_utc(spark)
 
 
+def local_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A few driver-side rows (assets, report lines) as a DataFrame.
+
+    Handed over as Arrow they become part of the plan; plain Python rows would
+    start Python workers on the executors just to be read.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    columns = zip(*rows) if rows else [()] * len(schema)
+    table = pa.table([pa.array(list(values)) for values in columns], names=schema.names)
+    return spark.createDataFrame(table, schema)
+
+
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty DataFrame of ``schema``."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="monthtide-")

@@ -144,35 +144,52 @@ def test_a_load_that_died_before_the_ledger_is_done_again(spark, monkeypatch):
     assert ids(spark, where) == {(1, "202507", "202507"): 2}
 
 
-@pytest.mark.parametrize("probe_rows", [0, 3, 1_000])
+@pytest.mark.parametrize("probe_rows", [0, 12, 1_000])
 def test_all_months_at_once_equal_month_by_month(spark, probe_rows):
     chance = random.Random(probe_rows)
     pickups = [JUNE_30, JULY_5, AUGUST_9, None]
     months = {
         m: [trip(VendorID=chance.randrange(6), pickup=chance.choice(pickups), tip_amount=float(chance.randrange(2)))
             for _ in range(25)]
-        for m in ("2025-07", "2025-08", "2025-09")
+        for m in ("2025-07", "2025-08")
     }
     outcomes = []
     for at_once in (True, False):
         where = config(spark, probe_rows=probe_rows)
         for month, rows in months.items():
             land(frame(spark, rows), YELLOW, month, where)
-        for last in ["2025-09"] if at_once else ["2025-07", "2025-08", "2025-09"]:
+        for last in ["2025-08"] if at_once else ["2025-07", "2025-08"]:
             go(spark, where, last=last)
         outcomes.append(Counter((r.trip_hash, r.tip_amount, r.load_id, r.pickup_month) for r in main(spark, where).collect()))
     assert outcomes[0] == outcomes[1]
 
 
-def test_cells_are_split_by_size_and_precedence():
-    cells = [Cell("202507", "202506", 5), Cell("202507", "202507", 900), Cell("202508", "202507", 700), Cell("202508", "202508", 800)]
-    split = split_cells(cells, {"202506", "202508"}, probe_rows=100)
-    assert split.few == (cells[0],)
-    assert split.fresh == (cells[1],)
-    assert set(split.contested) == {cells[2], cells[3]}
-    everything = split_cells(cells, (), probe_rows=10_000)
-    assert set(everything.few) == set(cells)
-    assert sum(c.rows for c in split_cells(cells, (), probe_rows=750).few) <= 750
+def test_cells_are_split_by_what_has_to_be_broadcast():
+    strays, july, july_again, august = cells = [
+        Cell("202507", "202506", 5), Cell("202507", "202507", 900),
+        Cell("202508", "202507", 700), Cell("202508", "202508", 800),
+    ]
+    split = split_cells(cells, {"202506": 10_000, "202508": 90}, probe_rows=100)
+    assert (split.few_rows, set(split.few_before), split.others) == ((strays,), {july, august}, (july_again,))
+    split = split_cells(cells, {"202507": 1, "202508": 101}, probe_rows=100)
+    assert (split.few_rows, split.few_before, set(split.others)) == ((strays,), (july,), {july_again, august})
+    assert set(split_cells(cells, {}, probe_rows=10_000).few_rows) == set(cells)
+    assert sum(c.rows for c in split_cells(cells, {}, probe_rows=750).few_rows) <= 750
+
+
+def test_a_month_with_little_before_it_is_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    where = config(spark, probe_rows=1)
+    land(frame(spark, [trip(pickup=AUGUST_9)]), YELLOW, "2025-07", where)
+    land(frame(spark, [trip(pickup=AUGUST_9), trip(pickup=AUGUST_9, VendorID=2)]), YELLOW, "2025-08", where)
+    assert go(spark, where, last="2025-07")["yellow", "202507"][3] == 1
+    staged = spark.table(f"{where.database}.{YELLOW.staging_table}")
+    cells = [Cell("202508", "202508", 2)]
+    new = pipeline.merge_staged(staged, main(spark, where), YELLOW, cells, {"202508": 1}, 1)
+    new.collect()
+    plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "SortMergeJoin" not in plan
+    assert go(spark, where)["yellow", "202508"] == ("loaded", None, 2, 1)
 
 
 def test_merge_reads_only_the_months_and_columns_it_needs(spark):
@@ -180,7 +197,7 @@ def test_merge_reads_only_the_months_and_columns_it_needs(spark):
     land(frame(spark, [trip(pickup=JUNE_30), trip(pickup=JULY_5)]), YELLOW, "2025-07", where)
     go(spark, where)
     staged = spark.table(f"{where.database}.{YELLOW.staging_table}")
-    new = pipeline.merge_staged(staged, main(spark, where), YELLOW, [Cell("202507", "202507", 1)], {"202507"}, 0)
+    new = pipeline.merge_staged(staged, main(spark, where), YELLOW, [Cell("202507", "202507", 1)], {"202507": 1}, 0)
     plan = new._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "yellow_taxi[" in line]
     assert scans and all("ReadSchema: struct<trip_hash:string>" in line for line in scans)
