@@ -34,6 +34,7 @@ from monthtide.operators import (
     new_keys,
 )
 from monthtide.plans import plan_assets
+from monthtide.session import stored
 from monthtide.sources import changed_landing, pending_landing, row_digest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,17 +246,10 @@ def merge_insert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded(hashed_lineitem(spark, sf_dir)).unionByName(merge_insert_rows(spark, sf_dir))
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` read back from a written table, which also cuts its lineage."""
-    folder = work_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
-
-
 def merge_rerun_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = _stored(hashed_lineitem(spark, sf_dir), "batch")
+    batch = stored(hashed_lineitem(spark, sf_dir), "batch")
     new = merge_insert(batch, loaded(batch), insert_columns=LINEITEM.insert_columns)
-    main = _stored(loaded(batch).unionByName(new), "main")
+    main = stored(loaded(batch).unionByName(new), "main")
     return main.unionByName(merge_insert(batch, main, insert_columns=LINEITEM.insert_columns))
 
 

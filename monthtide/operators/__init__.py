@@ -6,10 +6,11 @@ from monthtide.operators.merge import (
     heavy_keys,
     merge_insert,
     new_keys,
+    rows_of_keys,
     unseen,
     unseen_among_few,
-    unseen_among_many,
     unseen_by_probe,
+    unseen_keys,
 )
 from monthtide.operators.tables import (
     add_column,
@@ -42,8 +43,9 @@ __all__ = [
     "new_keys",
     "partitions",
     "replace_partition",
+    "rows_of_keys",
     "unseen",
     "unseen_among_few",
-    "unseen_among_many",
     "unseen_by_probe",
+    "unseen_keys",
 ]

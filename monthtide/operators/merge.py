@@ -17,7 +17,7 @@ the shuffled anti join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -92,6 +92,28 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE)
     )
 
 
+def _spread(
+    rows: DataFrame,
+    others: DataFrame,
+    keys: Sequence[str],
+    alike: Sequence[str] | None,
+    join: Callable[[DataFrame, DataFrame], DataFrame],
+) -> DataFrame:
+    """``join(rows, others)`` with the heavy keys of ``rows`` taken out.
+
+    ``others`` must hold each key a bounded number of times. Its entries for
+    heavy keys are broadcast, so that heavy rows stay where they are.
+    """
+    probed = list(alike or keys)
+    heavy = F.broadcast(heavy_keys(rows, probed))
+    is_heavy = F.xxhash64(*[F.col(c) for c in probed]) == F.col("_heavy")
+    weighty = rows.join(heavy, is_heavy, "left_semi")
+    # One key per heavy hash, hence as bounded as the list of these.
+    heavy_values = F.broadcast(_seen_keys(weighty, keys).distinct())
+    others_heavy = F.broadcast(others.join(heavy_values, [_SEEN + k for k in keys], "left_semi"))
+    return join(rows.join(heavy, is_heavy, "left_anti"), others).unionByName(join(weighty, others_heavy))
+
+
 def unseen(
     rows: DataFrame,
     seen: DataFrame,
@@ -104,27 +126,44 @@ def unseen(
     ``alike`` names columns that are equal when the keys are, if these are
     cheaper to read than a computed key.
     """
-    probed = list(alike or keys)
-    heavy = F.broadcast(heavy_keys(rows, probed))
-    is_heavy = F.xxhash64(*[F.col(c) for c in probed]) == F.col("_heavy")
-    weighty = rows.join(heavy, is_heavy, "left_semi")
-    # One key per heavy hash, hence as bounded as the list of these.
-    names = [_SEEN + k for k in keys]
-    heavy_values = F.broadcast(_seen_keys(weighty, keys).distinct())
-    seen_heavy = F.broadcast(seen.join(heavy_values, names, "left_semi"))
-    light = _anti(rows.join(heavy, is_heavy, "left_anti"), seen, keys, order)
-    return light.unionByName(_anti(weighty, seen_heavy, keys, order))
+    return _spread(rows, seen, keys, alike, lambda part, entries: _anti(part, entries, keys, order))
+
+
+def unseen_keys(
+    rows: DataFrame, main: DataFrame, keys: Sequence[str], rivals: DataFrame | None = None, order: str | None = None
+) -> DataFrame:
+    """Distinct keys (with their load, if ordered) that a merge of ``rows`` inserts.
+
+    Both sides are reduced to their keys before they are shuffled. Null keys,
+    which never match, are not supported here.
+    """
+    named = rows.select(*keys, *([order] if order else [])).distinct()
+    found = _anti(named, first_seen(main, keys, rivals, order), keys, order)
+    loads = [F.col(order).alias(_FIRST)] if order else []
+    return found.select(*[F.col(k).alias(_SEEN + k) for k in keys], *loads)
 
 
-def unseen_among_many(
+def rows_of_keys(
     rows: DataFrame,
-    main: DataFrame,
+    wanted: DataFrame,
     keys: Sequence[str],
-    rivals: DataFrame | None = None,
     order: str | None = None,
+    alike: Sequence[str] | None = None,
+    few: bool = False,
 ) -> DataFrame:
-    """Rows that neither ``main`` nor an earlier load in ``rivals`` has."""
-    return unseen(rows, first_seen(main, keys, rivals, order), keys, order)
+    """Rows whose key is in ``wanted``, a result of :func:`unseen_keys`.
+
+    ``few`` says that ``wanted`` is known by count to be small enough to
+    broadcast; ``rows`` are not shuffled then.
+    """
+
+    def matching(part: DataFrame, entries: DataFrame) -> DataFrame:
+        same = [F.col(k) == F.col(_SEEN + k) for k in keys]
+        if order:
+            same.append(F.col(order) == F.col(_FIRST))
+        return part.join(entries, reduce(and_, same), "left_semi")
+
+    return matching(rows, F.broadcast(wanted)) if few else _spread(rows, wanted, keys, alike, matching)
 
 
 def unseen_among_few(
@@ -134,9 +173,10 @@ def unseen_among_few(
     rivals: DataFrame | None = None,
     order: str | None = None,
 ) -> DataFrame:
-    """The same for a main and rivals *known by count* to be small.
+    """Rows that neither ``main`` nor an earlier load in ``rivals`` has.
 
-    Their keys are broadcast; ``rows`` are not shuffled, whatever their size.
+    For a main and rivals *known by count* to be small: their keys are broadcast,
+    and ``rows`` are not shuffled, whatever their size.
     """
     return _anti(rows, F.broadcast(first_seen(main, keys, rivals, order)), keys, order)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +65,7 @@ def ensure_table(
 def ensure_staging(spark: SparkSession, kind: Kind, database: str, root: str) -> str:
     """Staging table of ``kind``: one partition per month of the *file*."""
     table = f"{database}.{kind.staging_table}"
-    schema = T.StructType([*kind.schema, T.StructField(kind.hash_column, T.StringType())])
-    ensure_table(spark, table, schema, f"{root}/{kind.staging_table}", [LOAD_MONTH], kind.cluster)
+    ensure_table(spark, table, kind.schema, f"{root}/{kind.staging_table}", [LOAD_MONTH], kind.cluster)
     return table
 
 
@@ -159,6 +158,7 @@ def load_partitions(
     mode: str = "truncate",
     order_by: Sequence[str] = (),
     rebalance: bool = True,
+    has_rows: Callable[[str], bool] | None = None,
 ) -> list[str]:
     """Write ``df`` into the ``load_month`` partitions ``months``.
 
@@ -166,7 +166,9 @@ def load_partitions(
     ends up empty), ``if_empty`` leaves alone those that hold rows, ``append``
     adds to them. Returns the months written. ``rebalance`` gathers each month
     into files of good size first (AQE splits a month that is too large); turn it
-    off when the input is one file per month already.
+    off when the input is one file per month already. ``has_rows`` tells whether
+    ``df`` has rows for a month to be replaced, if the caller can say so without
+    the pass over its month column that is made otherwise.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -181,7 +183,9 @@ def load_partitions(
     emptied: set[str] = set()
     if mode == "truncate":
         replaced = {p[LOAD_MONTH] for p in partitions(spark, table)} & set(months)
-        if replaced:
+        if has_rows:
+            emptied = {m for m in replaced if not has_rows(m)}
+        elif replaced:
             found = df.where(F.col(LOAD_MONTH).isin(sorted(replaced))).select(LOAD_MONTH).distinct()
             emptied = replaced - {r[LOAD_MONTH] for r in found.collect()}
     if rebalance and len(months) > 1:

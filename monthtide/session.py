@@ -74,3 +74,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         shared = _local_folder()
     return f"{shared.rstrip('/')}/monthtide/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` read back from a table in the work folder: computed once, and its
+    lineage cut there, so that a lost executor does not mean doing it again."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

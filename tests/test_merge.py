@@ -7,7 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from monthtide import YELLOW, fingerprint, has_new, merge_insert
-from monthtide.operators import first_seen, heavy_keys, new_keys, unseen, unseen_by_probe
+from monthtide.operators import (
+    first_seen,
+    heavy_keys,
+    new_keys,
+    rows_of_keys,
+    unseen,
+    unseen_among_few,
+    unseen_by_probe,
+    unseen_keys,
+)
 from tests.trips import frame, trip
 
 ROW = "k string, load string, v int"
@@ -137,6 +146,12 @@ def test_every_way_to_merge_equals_one_load_after_the_other(spark, seed):
     assert multiset(merge_insert(rows, known, keys=["k"], order="load")) == expected
     assert multiset(merge_insert(rows, known, keys=["k"], order="load", alike=["k", "v"])) == expected
     assert multiset(unseen_by_probe(rows, known, ["k"], rows, "load")) == expected
+    assert multiset(unseen_among_few(rows, known, ["k"], rows, "load")) == expected
+    keyed = rows.dropna(subset=["k"])
+    wanted = unseen_keys(keyed, known, ["k"], keyed, "load")
+    for few in (True, False):
+        by_key = multiset(rows_of_keys(keyed, wanted, ["k"], "load", few=few))
+        assert by_key == Counter({row: n for row, n in expected.items() if row[0] is not None})
     single = one_by_one([(k, "3", v) for k, _, v in batch], main)
     first_load = rows.withColumn("load", F.lit("3"))
     assert multiset(unseen(first_load, first_seen(known, ["k"]), ["k"])) == single
