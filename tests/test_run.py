@@ -133,17 +133,32 @@ def test_a_load_that_died_before_the_ledger_is_done_again(spark, monkeypatch):
     land(frame(spark, [trip(), trip(), trip(VendorID=2, pickup=JUNE_30)]), YELLOW, "2025-07", where)
 
     def crash(*_):
-        raise RuntimeError("driver lost")
+        raise SystemExit("driver lost")
 
     with monkeypatch.context() as patch:
         patch.setattr(pipeline, "_record", crash)
-        assert go(spark, where)["yellow", "202507"][0] == "failed"
+        with pytest.raises(SystemExit):
+            go(spark, where)
     assert main(spark, where).count() == 3
     land(frame(spark, [trip(), trip()]), YELLOW, "2025-07", where)
     assert go(spark, where)["yellow", "202507"] == ("loaded", None, 2, 2)
     assert ids(spark, where) == {(1, "202507", "202507"): 2}
 
 
+def test_a_failed_load_leaves_nothing_in_main(spark, monkeypatch):
+    where = config(spark)
+    land(frame(spark, [trip()]), YELLOW, "2025-07", where)
+
+    def fail(*_):
+        raise RuntimeError("no ledger")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "_record", fail)
+        status, reason, *_ = go(spark, where)["yellow", "202507"]
+    assert (status, reason) == ("failed", "RuntimeError: no ledger")
+    assert main(spark, where).isEmpty()
+
+
 @pytest.mark.parametrize("probe_rows", [0, 12, 1_000])
 def test_all_months_at_once_equal_month_by_month(spark, probe_rows):
     chance = random.Random(probe_rows)
