@@ -118,6 +118,11 @@ ORACLES: dict[str, str] = {
         select l_orderkey, l_shipdate, l_linenumber::bigint as l_linenumber, l_quantity::bigint as l_quantity,
                l_extendedprice, l_partkey::double as l_partkey, l_returnflag, null::double as surcharge
         from lineitem""",
+    "conform_relaxed": """
+        select * exclude (l_shipdate) replace (l_linenumber::bigint as l_linenumber),
+               case when l_returnflag <> 'R' then l_shipdate end as l_shipdate,
+               case when l_returnflag <> 'R' then strftime(l_shipdate, '%Y%m') else '000000' end as pickup_month
+        from lineitem""",
     "partition_replace": f"""
         with b as ({_BY_MONTH})
         select * from b where year(l_shipdate) <> 1998 or l_returnflag = 'A'

@@ -24,7 +24,7 @@ from catalogue.standins import (
     zoneless,
 )
 from monthtide import Config, catch_up, conform, fingerprint, gate, merge_insert, run, use_utc, work_folder
-from monthtide.functions import identity_json, in_month, month_in_zone, normalized, snake_case_columns
+from monthtide.functions import identity_json, in_month, month_in_zone, month_key, normalized, snake_case_columns
 from monthtide.operators import (
     add_column,
     append_rows,
@@ -176,6 +176,14 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zoneless(conform(table(spark, sf_dir, "lineitem").select(*present), _ALL_INTEGERS, strict=True))
 
 
+def conform_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NULLs in a required column are let through and share one month."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    unknown = F.when(F.col("l_returnflag") != "R", F.col("l_shipdate"))
+    fitted = conform(lineitem.withColumn("l_shipdate", unknown), LINEITEM.schema)
+    return zoneless(fitted.withColumn("pickup_month", month_key(F.col("l_shipdate"))))
+
+
 def _new_table(df: DataFrame, purpose: str, partitioned_by: tuple[str, ...] = ()) -> str:
     """An empty table with the columns of ``df``."""
     spark = df.sparkSession
@@ -357,6 +365,7 @@ QUERIES: dict[str, Query] = {
         "landing_skip": landing_skip,
         "landing_changed": landing_changed,
         "conform_schema": conform_schema,
+        "conform_relaxed": conform_relaxed,
         "partition_replace": partition_replace,
         "write_if_empty": write_if_empty,
         "append_partition": append_partition,

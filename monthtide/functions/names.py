@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,10 +38,19 @@ def normalize_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*map(normalize_name, df.columns))
 
 
+@cache
+def _digits() -> str:
+    """Regex class of what counts as a digit in Python: \\d and the likes of ``²``."""
+    others = (chr(i) for i in range(sys.maxunicode + 1) if chr(i).isdigit() and not chr(i).isdecimal())
+    return r"[\p{Nd}" + "".join(others) + "]"
+
+
 def normalized(value: Column) -> Column:
     """:func:`normalize_name` as an expression, for names held in data."""
-    stripped = F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
-    words = F.regexp_replace(stripped, r"(?U)\W+", "_")
+    # The classes spell out what strip() and \W mean in Python.
+    space, other = r"[\s\x1c-\x1f]+", r"[^\p{L}\p{N}_]+"
+    stripped = F.regexp_replace(value, f"(?U)^{space}|{space}$", "")
+    words = F.regexp_replace(stripped, other, "_")
     named = F.when(words == "", F.lit(EMPTY_NAME)).otherwise(words)
-    prefixed = F.when(named.rlike(r"(?U)^\d"), F.concat(F.lit(DIGIT_PREFIX), named)).otherwise(named)
+    prefixed = F.when(named.rlike("^" + _digits()), F.concat(F.lit(DIGIT_PREFIX), named)).otherwise(named)
     return F.substring(prefixed, 1, MAX_NAME_LENGTH)

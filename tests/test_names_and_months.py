@@ -36,10 +36,12 @@ def test_normalize_column_names(spark):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.text(alphabet="aZ9_ -.\té", max_size=6), min_size=1, max_size=40))
+@given(st.lists(st.text(st.characters(max_codepoint=0x7FF, exclude_categories=["Cs", "Cn"]), max_size=6), min_size=50))
 def test_names_in_data_follow_the_same_rule(session, names):
+    # Letters newer than the Unicode version of the JVM are left out.
+    names += ["²x", "①", "\x1ca\x85", "é\u0301b", "9", " _ "]
     rows = session.createDataFrame([(n,) for n in names], "n string").select("n", normalized(F.col("n")).alias("out"))
-    assert all(r.out == normalize_name(r.n) for r in rows.collect())
+    assert [r for r in rows.collect() if r.out != normalize_name(r.n)] == []
 
 
 def test_month_keys(spark):
