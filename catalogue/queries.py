@@ -186,43 +186,35 @@ def conform_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _new_table(df: DataFrame, purpose: str, partitioned_by: tuple[str, ...] = ()) -> str:
     """An empty table with the columns of ``df``."""
-    spark = df.sparkSession
-    ensure_database(spark, "scratch")
-    name = f"scratch.{purpose}_{uuid.uuid4().hex}"
+    spark, folder = df.sparkSession, work_folder(df.sparkSession, purpose)
+    database = f"{purpose}_{uuid.uuid4().hex}"
+    ensure_database(spark, database, folder)
     data = T.StructType([f for f in df.schema if f.name not in partitioned_by])
-    ensure_table(spark, name, data, work_folder(spark, purpose), partitioned_by)
-    return name
-
-
-def _months(df: DataFrame) -> list[str]:
-    return [r.load_month for r in df.select("load_month").distinct().collect()]
+    ensure_table(spark, f"{database}.{purpose}", data, f"{folder}/{purpose}", partitioned_by)
+    return f"{database}.{purpose}"
 
 
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = by_ship_month(table(spark, sf_dir, "lineitem"))
     name = _new_table(staged, "replace", ("load_month",))
-    load_partitions(staged, name, _months(staged))
-    corrected = staged.where("l_returnflag = 'A' and year(l_shipdate) = 1998")
-    load_partitions(corrected, name, _months(corrected))
+    load_partitions(staged, name)
+    load_partitions(staged.where("l_returnflag = 'A' and year(l_shipdate) = 1998"), name)
     return spark.table(name)
 
 
 def write_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = by_ship_month(table(spark, sf_dir, "lineitem"))
     name = _new_table(staged, "if_empty", ("load_month",))
-    early = staged.where("l_shipdate < timestamp_ntz'2000-01-01'")
-    load_partitions(early, name, _months(early))
-    later = staged.where("l_returnflag = 'A'")
-    load_partitions(later, name, _months(later), mode="if_empty")
+    load_partitions(staged.where("l_shipdate < timestamp_ntz'2000-01-01'"), name)
+    load_partitions(staged.where("l_returnflag = 'A'"), name, mode="if_empty")
     return spark.table(name)
 
 
 def append_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = by_ship_month(table(spark, sf_dir, "lineitem"))
     name = _new_table(staged, "append", ("load_month",))
-    months = _months(staged)
-    load_partitions(staged, name, months)
-    load_partitions(staged, name, months, mode="append")
+    load_partitions(staged, name)
+    load_partitions(staged, name, mode="append")
     return spark.table(name)
 
 

@@ -221,7 +221,8 @@ def merge_insert(
 
     ``insert_columns`` lists what is filled in (default: all the batch has); the
     rest is NULL. With ``order`` the batch holds several loads, see the module;
-    for ``alike`` see :func:`unseen`.
+    for ``alike`` see :func:`unseen`. ``batch`` is read more than once: it must
+    not depend on chance, and is better stored first if it is costly to compute.
     """
     _check_key_types(batch, main, keys)
     seen = first_seen(main, keys, batch if order is not None else None, order)

@@ -26,8 +26,8 @@ def _columns_ddl(fields: Iterable[T.StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_database(spark: SparkSession, name: str, location: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 
 
 def ensure_table(
@@ -154,7 +154,7 @@ def _replace_months(df: DataFrame, table: str, months: Sequence[str], order_by:
 def load_partitions(
     df: DataFrame,
     table: str,
-    months: Sequence[str],
+    months: Sequence[str] | None = None,
     mode: str = "truncate",
     order_by: Sequence[str] = (),
     rebalance: bool = True,
@@ -162,7 +162,7 @@ def load_partitions(
 ) -> list[str]:
     """Write ``df`` into the ``load_month`` partitions ``months``.
 
-    ``truncate`` replaces these partitions and no others (a month without rows
+    Without ``months`` these are the ones ``df`` has rows for. ``truncate`` replaces these partitions and no others (a month without rows
     ends up empty), ``if_empty`` leaves alone those that hold rows, ``append``
     adds to them. Returns the months written. ``rebalance`` gathers each month
     into files of good size first (AQE splits a month that is too large); turn it
@@ -173,6 +173,9 @@ def load_partitions(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     spark = df.sparkSession
+    if months is None:
+        months = [r[LOAD_MONTH] for r in df.select(LOAD_MONTH).distinct().collect()]
+        has_rows = lambda _: True
     months = sorted(set(months))
     if mode == "if_empty":
         full = filled_partitions(spark, table, months)

@@ -3,11 +3,14 @@ from __future__ import annotations
 import random
 from collections import Counter
 from datetime import datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from monthtide import GREEN, YELLOW, run
-from monthtide.operators import partitions
+from monthtide.operators import append_rows, ensure_database, ensure_table, partitions
 from monthtide.plans import pipeline
 from monthtide.plans.monthly_merge import Cell, split_cells
 from tests.trips import config, frame, land, trip
@@ -128,6 +131,40 @@ def test_write_if_empty_leaves_a_filled_month(spark):
     assert main(spark, where).count() == 1
 
 
+def test_append_mode_keeps_what_is_staged(spark):
+    where = config(spark, write_mode="append")
+    land(frame(spark, [trip()]), YELLOW, "2025-07", where)
+    go(spark, where)
+    assert go(spark, where, refresh="all")["yellow", "202507"] == ("skipped", "nothing new", 2, 0)
+
+
+def test_rows_older_than_the_hash_column_are_inserted_again(spark):
+    where = config(spark)
+    name, slices = f"{where.database}.yellow_taxi", ["load_id", "pickup_month"]
+    ensure_database(spark, where.database, where.root)
+    ensure_table(spark, name, YELLOW.schema, f"{where.root}/yellow_taxi", slices)
+    old = frame(spark, [trip()]).withColumn("load_id", F.lit("old")).withColumn("pickup_month", F.lit("202507"))
+    append_rows(old, name)
+    land(frame(spark, [trip()]), YELLOW, "2025-07", where)
+    assert go(spark, where)["yellow", "202507"] == ("loaded", None, 1, 1)
+    assert sorted((r.load_id, r.trip_hash is None) for r in main(spark, where).collect()) == [("202507", False), ("old", True)]
+
+
+def test_files_are_sorted_by_the_cluster_columns(spark):
+    where = config(spark)
+    chance = random.Random(3)
+    rows = [trip(VendorID=chance.randrange(4), pickup=datetime(2025, 7, 1 + chance.randrange(28))) for _ in range(200)]
+    land(frame(spark, rows), YELLOW, "2025-07", where)
+    go(spark, where)
+    for table in ("yellow_taxi", "yellow_taxi_staging"):
+        files = list(Path(f"{where.root}/{table}".removeprefix("file:")).rglob("*.parquet"))
+        assert files
+        for file in files:
+            stored = pq.ParquetFile(file).read(columns=list(YELLOW.cluster)).to_pylist()
+            order = [tuple(r.values()) for r in stored]
+            assert order == sorted(order)
+
+
 def test_a_load_that_died_before_the_ledger_is_done_again(spark, monkeypatch):
     where = config(spark)
     land(frame(spark, [trip(), trip(), trip(VendorID=2, pickup=JUNE_30)]), YELLOW, "2025-07", where)

@@ -23,9 +23,9 @@ SCHEMA = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.St
 
 @pytest.fixture
 def database(spark):
-    name = f"t_{uuid.uuid4().hex}"
-    ensure_database(spark, name)
-    ensure_database(spark, name)
+    name, location = f"t_{uuid.uuid4().hex}", work_folder(spark, "database")
+    ensure_database(spark, name, location)
+    ensure_database(spark, name, location)
     return name
 
 
@@ -73,6 +73,11 @@ def test_added_column_reads_null_in_older_rows(spark, staged):
     assert spark.table(staged).where("trip_hash = 'h'").count() == 1
 
 
+def test_months_default_to_those_of_the_rows(spark, staged):
+    assert load_partitions(rows(spark, (7, "q", "202501"), (8, "r", "202504")), staged) == ["202501", "202504"]
+    assert contents(spark, staged) == [(3, "202502"), (7, "202501"), (8, "202504")]
+
+
 def test_replace_touches_only_the_given_months(spark, staged):
     assert load_partitions(rows(spark, (7, "q", "202501"), (8, "r", "202502")), staged, ["202501"]) == ["202501"]
     assert contents(spark, staged) == [(3, "202502"), (7, "202501")]
