@@ -123,8 +123,8 @@ def unseen(
 ) -> DataFrame:
     """Rows without an entry in ``seen``, for sides of any size and skew.
 
-    ``alike`` names columns that are equal when the keys are, if these are
-    cheaper to read than a computed key.
+    ``alike`` names columns that are equal exactly when the keys are, if these
+    are cheaper to read than a computed key.
     """
     return _spread(rows, seen, keys, alike, lambda part, entries: _anti(part, entries, keys, order))
 
