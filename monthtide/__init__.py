@@ -4,7 +4,7 @@ from monthtide.functions import fingerprint, normalize_column_names, snake_case_
 from monthtide.kinds import GREEN, KINDS, YELLOW, Kind, kinds_from_json
 from monthtide.operators import has_new, load_partitions, merge_insert, replace_partition
 from monthtide.plans import due_spans, plan_assets
-from monthtide.plans.pipeline import Config, run
+from monthtide.plans.monthly_run import Config, run
 from monthtide.session import tune, use_utc, work_folder
 from monthtide.sources import conform, gate, manifest, relax
 from monthtide.streaming import catch_up

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from monthtide.kinds import Kind
-from monthtide.plans.pipeline import Config, run
+from monthtide.plans.monthly_run import Config, run
 from monthtide.session import use_utc
 from monthtide.sources.files import asset_part
 
@@ -49,12 +49,15 @@ def catch_up(
     report_path: str | None = None,
     refresh: str = "changed",
     files_per_batch: int | None = None,
+    first: str | None = None,
 ) -> StreamingQuery:
     """Start a query that loads all files that arrived, then stops.
 
     Each micro-batch appends its report below ``report_path``. An asset of
     several parts may arrive over several micro-batches; ``refresh='changed'``
-    picks up the later ones.
+    picks up the later ones. A file counts as arrived once, complete or not:
+    with ``first`` every micro-batch looks at all months from there on again, and
+    so finds files that were too small when they arrived.
     """
     use_utc(spark)
     by_name = {k.name: k for k in kinds}
@@ -67,7 +70,8 @@ def catch_up(
             .collect()
         )
         for row in bounds:
-            report = run(batch.sparkSession, [by_name[row.kind]], config, row["first"], row["last"], refresh)
+            since = min(first or row["first"], row["first"])
+            report = run(batch.sparkSession, [by_name[row.kind]], config, since, row["last"], refresh)
             if report_path:
                 report.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(report_path)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from monthtide import GREEN, YELLOW, run
 from monthtide.operators import append_rows, ensure_database, ensure_table, partitions
-from monthtide.plans import pipeline
+from monthtide.plans import monthly_run
 from monthtide.plans.monthly_merge import Cell, split_cells
 from tests.trips import config, frame, land, trip
 
@@ -173,7 +173,7 @@ def test_a_load_that_died_before_the_ledger_is_done_again(spark, monkeypatch):
         raise SystemExit("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "_record", crash)
+        patch.setattr(monthly_run, "_record", crash)
         with pytest.raises(SystemExit):
             go(spark, where)
     assert main(spark, where).count() == 3
@@ -190,7 +190,7 @@ def test_a_failed_load_leaves_nothing_in_main(spark, monkeypatch):
         raise RuntimeError("no ledger")
 
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "_record", fail)
+        patch.setattr(monthly_run, "_record", fail)
         status, reason, *_ = go(spark, where)["yellow", "202507"]
     assert (status, reason) == ("failed", "RuntimeError: no ledger")
     assert main(spark, where).isEmpty()
@@ -238,7 +238,7 @@ def test_a_month_with_little_before_it_is_not_shuffled(spark):
     staged = spark.table(f"{where.database}.{YELLOW.staging_table}")
     cells = [Cell("202508", "202508", 2)]
     staged = staged.where("load_month = '202508'")
-    new = pipeline.merge_staged(staged, main(spark, where), YELLOW, cells, {"202508": 1}, 1)
+    new = monthly_run.merge_staged(staged, main(spark, where), YELLOW, cells, {"202508": 1}, 1)
     new.collect()
     plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
     assert "SortMergeJoin" not in plan
@@ -250,7 +250,7 @@ def test_merge_reads_only_the_months_and_columns_it_needs(spark):
     land(frame(spark, [trip(pickup=JUNE_30), trip(pickup=JULY_5)]), YELLOW, "2025-07", where)
     go(spark, where)
     staged = spark.table(f"{where.database}.{YELLOW.staging_table}")
-    new = pipeline.merge_staged(staged, main(spark, where), YELLOW, [Cell("202507", "202507", 1)], {"202507": 0}, 0)
+    new = monthly_run.merge_staged(staged, main(spark, where), YELLOW, [Cell("202507", "202507", 1)], {"202507": 0}, 0)
     plan = new._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "yellow_taxi[" in line]
     assert scans and all("ReadSchema: struct<trip_hash:string>" in line for line in scans)
