@@ -53,11 +53,12 @@ def ensure_table(
     statement += f" LOCATION '{location}'"
     if clustered_by:
         statement += f" TBLPROPERTIES ('clustered_by' = '{','.join(clustered_by)}')"
-    spark.sql(statement)
     if partitioned_by:
         # Appending nothing makes sure that the folder is there to be listed.
         nothing = no_rows(spark, T.StructType([*schema, *partition_fields]))
         nothing.write.mode("append").partitionBy(*partitioned_by).parquet(location)
+    spark.sql(statement)
+    if partitioned_by:
         spark.catalog.recoverPartitions(table)
     return True
 
