@@ -64,10 +64,10 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 2
     marked = _drops(docs, min_sites, min_chars)
     rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_hash": F.xxhash64("text")})
     rows = rows.join(marked, ["_id", "_hash"], "left")
-    text = F.when(F.col("_drop").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_drop")))
-    new = {"text": text}
+    rows = rows.withColumn("_text", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_drop"))))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(docs.schema["n_chars"].dataType)
     return rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
 
 
