@@ -50,7 +50,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring.remove_repeats(_read(spark, sf_dir, "documents"), window=20, base=5)
+    found = substring.remove_repeats(_read(spark, sf_dir, "documents"), window=20, base=10)
     return found.select("doc_id", "n_words", "n_removed", _sha(F.col("kept_text")).alias("kept_sha256"))
 
 

@@ -10,21 +10,33 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import byte_words, keyed, per_batch, settled
+from monthtide.llm.common import keyed, per_batch, settled
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE = np.uint64(0xD1342543DE82EF95)
 _HIGH, _LOW = np.uint64(32), np.uint64(29)
+#: Words that are hashed at once.
+_BLOCK = 1 << 16
 
 
-def _grams(hashes: np.ndarray, length: int) -> np.ndarray:
-    """A hash of every run of so many words."""
-    count = len(hashes) - length + 1
-    out = np.zeros(count, np.uint64)
-    for j in range(length):
-        out = out * _MIX + hashes[j : j + count]
-    out ^= out >> _HIGH
-    out *= _MIX
-    return out ^ (out >> _LOW)
+class _Powers:
+    """Powers of the base and of its inverse modulo 2^64, as many as were asked for so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+        self.inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+    def __call__(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < count:
+            size = 1 << (int(count) - 1).bit_length()
+            for name, factor in (("up", _BASE), ("down", self.inverse)):
+                steps = np.full(size, factor, np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.multiply.accumulate(steps))
+        return self.up, self.down
+
+
+_powers = _Powers()
 
 
 def _sliding(values: np.ndarray, width: int, take: np.ufunc) -> np.ndarray:
@@ -40,42 +52,61 @@ def _sliding(values: np.ndarray, width: int, take: np.ufunc) -> np.ndarray:
 class _Document:
     """The words of one document, its candidate windows and what each level says of them."""
 
-    def __init__(self, text: str | None, window: int) -> None:
-        self.words, self.window = byte_words(text), window
+    def __init__(self, text: bytes | None, window: int) -> None:
+        self.words, self.window = (text or b"").split(), window
         self.starts = max(0, len(self.words) - window + 1)
         if self.starts:
-            self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+            self.body = b" ".join(self.words)
+            self.bytes = np.frombuffer(self.body, np.uint8)
+            gaps = np.flatnonzero(self.bytes == 32)
+            self.first, self.end = np.append(0, gaps + 1), np.append(gaps, len(self.body))
         self.alive = np.ones(self.starts, bool)
 
+    def grams(self, length: int) -> np.ndarray:
+        """A hash of every run of so many words: a polynomial in its bytes, from sums over the text, then mixed."""
+        out = np.empty(len(self.words) - length + 1, np.uint64)
+        for start in range(0, len(out), _BLOCK):
+            stop = min(start + _BLOCK, len(out))
+            low, high = self.first[start], self.end[stop + length - 2]
+            up, down = _powers(high - low + 1)
+            sums = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(self.bytes[low:high] * up[: high - low], out=sums[1:])
+            first, end = self.first[start:stop] - low, self.end[start + length - 1 : stop + length - 1] - low
+            out[start:stop] = (sums[end] - sums[first]) * down[first]
+        out ^= out >> _HIGH
+        out *= _MIX
+        return out ^ (out >> _LOW)
+
+    def _chosen(self, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of the shorter windows, and for each window the least of those in it."""
+        grams = self.grams(length)
+        return grams, _sliding(grams, self.window - length + 1, np.minimum)
+
     def anchors(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """(position, hash) of the shorter windows that stand for the candidates: in each the one of the least hash.
 
         Equal windows have equal anchors, so that an anchor found once tells that no window that it stands for repeats.
         """
-        grams = _grams(self.hashes, length)
-        chosen = _sliding(grams, self.window - length + 1, np.minimum)
-        self.chosen = chosen
-        padded = np.zeros(len(grams) + self.window - length, np.uint64)  # greatest choice over the windows around a gram
-        padded[self.window - length : self.window - length + self.starts] = np.where(self.alive, chosen, 0)
-        at = np.flatnonzero((grams == _sliding(padded, self.window - length + 1, np.maximum)) & (grams > 0))
+        grams, chosen = self._chosen(length)
+        side = self.window - length
+        around = np.zeros(len(grams) + side, np.uint64)
+        around[side : side + self.starts] = np.where(self.alive, chosen, 0)
+        at = np.flatnonzero((grams == _sliding(around, side + 1, np.maximum)) & (grams > 0))
         return at, grams[at]
 
     def discard(self, length: int, single: np.ndarray) -> None:
         """Drops the candidates whose anchor of this length is at one of the positions found once."""
-        if self.starts and len(single):
-            grams = _grams(self.hashes, length)
-            chosen = _sliding(grams, self.window - length + 1, np.minimum)
-            self.alive &= ~np.isin(chosen, grams[single])
+        if self.starts:
+            grams, self.chosen = self._chosen(length)
+            if len(single):
+                self.alive &= ~np.isin(self.chosen, grams[single])
 
     def whole(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, two parts of the hash) of the candidates, over all their words."""
+        """(start, hash of the last level's anchor, hash of all words) of the candidates."""
         at = np.flatnonzero(self.alive)
-        body = b" ".join(self.words)
-        ends = np.cumsum([len(w) + 1 for w in self.words])
-        first = (ends - np.array([len(w) + 1 for w in self.words]))[at].tolist()
-        last = (ends[at + self.window - 1] - 1).tolist()
-        digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(body[a:b]) for a, b in zip(first, last)), ">u8").reshape(-1, 2)
-        return at, digests[:, 0].astype(np.int64), (digests[:, 1] >> 32).astype(np.uint32).view(np.int32)
+        parts = zip(self.first[at].tolist(), self.end[at + self.window - 1].tolist())
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(self.body[a:b]) for a, b in parts), np.uint64, len(at))
+        return at, self.chosen[at], hashes
 
     def kept(self, first: np.ndarray) -> tuple[bytes, int]:
         """The words that stay, and the number of those removed; first: starts of the candidates found there first."""
@@ -94,10 +125,17 @@ def _numbers(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
     return value.values.to_numpy(zero_copy_only=False).astype(np.int64) if value.is_valid else np.zeros(0, np.int64)
 
 
-def _flat(parts: list[tuple], names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
-    if parts:
-        columns = (np.concatenate(x) for x in zip(*parts))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+def _first_of_each(parts: list[tuple], hashes: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns of parts (so many of hashes, then id, tag, at), a row for each hash with its first place; and how often each is there."""
+    columns = [np.concatenate(x) for x in zip(*parts)]
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for c in columns[:hashes]:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.diff(np.append(first, len(order)))
 
 
 def _levels(window: int, base: int) -> list[int]:
@@ -132,14 +170,17 @@ def _singles(rows: DataFrame, lists: dict[str, DataFrame], window: int, done: li
             if doc.alive.any():
                 at, hashes = doc.anchors(length)
                 parts.append((hashes.view(np.int64), np.full(len(at), doc_id), np.full(len(at), tag), at))
-        yield from _flat(parts, ["h", "id", "tag", "at"], [pa.int64(), pa.int64(), pa.int32(), pa.int32()])
+        if parts:
+            (h, *place), n = _first_of_each(parts, 1)
+            columns = [pa.array(h), pa.array(np.minimum(n, 2), pa.int32()), *(pa.array(x, t) for x, t in zip(place, (pa.int64(), pa.int32(), pa.int32())))]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "n", "id", "tag", "at"])
 
-    anchors = _with_lists(rows.select("id", "tag", "text"), lists).mapInArrow(per_batch(emit), "h long, id long, tag int, at int")
-    alone = anchors.groupBy("h").agg(F.count("*").alias("n"), *(F.min(c).alias(c) for c in ("id", "tag", "at"))).where("n = 1")
+    anchors = _with_lists(rows.select("id", "tag", "text"), lists).mapInArrow(per_batch(emit), "h long, n int, id long, tag int, at int")
+    alone = anchors.groupBy("h").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in ("id", "tag", "at"))).where("n = 1")
     return alone.groupBy("id", "tag").agg(F.collect_list("at").alias("at"))
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, base: int = 5) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text): each document without the words of windows that start earlier, too.
 
     A window is so many consecutive words of one document; earlier is a smaller doc_id, or an earlier start in the same
@@ -147,13 +188,14 @@ def remove_repeats(docs: DataFrame, window: int = 20, base: int = 5) -> DataFram
     occurrences at one length are single can't repeat at the next, so only what repeats is extended to twice the
     length, and at the last length the first occurrence of each window left is found. All levels count every document;
     each moves only the least hash of the candidate windows around it, and sums by hash before and after the shuffle.
+    At the last length windows are told apart by 128 bits: two hashes of 64, of all their words and of their anchor.
 
     Null and empty texts have no words. A null doc_id counts as the largest. Rows with the same doc_id and different
     texts are different documents in the order of a hash of the text; a row repeated in full counts once and gets its
     result each time. Columns beside doc_id and text are ignored, an empty table gives no rows.
     """
     levels = _levels(window, base)
-    rows, lists, done = keyed(docs), {}, []
+    rows, lists, done = keyed(docs).withColumn("text", F.col("text").cast("binary")), {}, []
     for length in levels:
         lists[f"single{length}"] = settled(_singles(rows, lists, window, done, length))
         done.append(length)
@@ -163,13 +205,17 @@ def remove_repeats(docs: DataFrame, window: int = 20, base: int = 5) -> DataFram
         for i, (doc_id, tag) in enumerate(zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist())):
             doc = _replayed(batch, i, window, levels)
             if doc.alive.any():
-                at, high, low = doc.whole()
-                parts.append((high, low, np.full(len(at), doc_id), np.full(len(at), tag), at))
-        yield from _flat(parts, ["high", "low", "id", "tag", "at"], [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32()])
-
-    kind = "high long, low int, id long, tag int, at int"
+                at, anchor, hashes = doc.whole()
+                parts.append((anchor.view(np.int64), hashes.view(np.int64), np.full(len(at), doc_id), np.full(len(at), tag), at))
+        if parts:
+            found, _ = _first_of_each(parts, 2)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], ["anchor", "hash", "id", "tag", "at"])
+
+    kind = "anchor long, hash long, id long, tag int, at int"
     whole = _with_lists(rows.select("id", "tag", "text"), lists).mapInArrow(per_batch(emit), kind)
-    first = whole.groupBy("high", "low").agg(F.min(F.struct("id", "tag", "at")).alias("at")).select("at.*")
+    # each batch has one row per window, so nothing is left to sum before the shuffle; windows of one anchor stay together
+    first = whole.repartition("anchor").groupBy("anchor", "hash").agg(F.min(F.struct("id", "tag", "at")).alias("at")).select("at.*")
     first = first.groupBy("id", "tag").agg(F.collect_list("at").alias("at"))
 
     def rest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
