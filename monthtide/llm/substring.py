@@ -126,7 +126,7 @@ def _numbers(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
 
 
 def _first_of_each(parts: list[tuple], hashes: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """The columns of parts (so many of hashes, then id, tag, at), a row for each hash with its first place; and how often each is there."""
+    """The columns of parts (so many of hashes, then id, tag, at), a row for each hash with its first place, by place; and how often each is there."""
     columns = [np.concatenate(x) for x in zip(*parts)]
     order = np.lexsort(columns[::-1])
     columns = [c[order] for c in columns]
@@ -135,7 +135,9 @@ def _first_of_each(parts: list[tuple], hashes: int) -> tuple[list[np.ndarray], n
     for c in columns[:hashes]:
         new[1:] |= c[1:] != c[:-1]
     first = np.flatnonzero(new)
-    return [c[first] for c in columns], np.diff(np.append(first, len(order)))
+    count = np.diff(np.append(first, len(order)))
+    by_place = np.argsort(order[first])  # rows of one document side by side take less room in the shuffle
+    return [c[first[by_place]] for c in columns], count[by_place]
 
 
 def _levels(window: int, base: int) -> list[int]:
