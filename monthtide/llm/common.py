@@ -81,7 +81,7 @@ def per_batch(work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> Cal
     return run
 
 
-def slices(batch: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive parts of a batch, of about so many bytes each and one row at least."""
     parts = max(1, -(-batch.nbytes // most))
     step = max(1, -(-batch.num_rows // parts))

@@ -21,9 +21,11 @@ CLASSES = 1 << 10
 #: Slots of the tables of the depths from 1 on, as powers of two: the model has 58 MB, whatever the corpus.
 SLOT_BITS = {1: 16, 2: 20, 3: 22, 4: 23, 5: 24}
 #: Words whose counts every task has; the others are joined.
-COMMON_WORDS = 1 << 17
+COMMON_WORDS = 1 << 16
 #: Entries of a task's memory of n-grams that it has scored.
 _MEMO = 1 << 21
+#: Bytes of texts that are worked on at once, and bytes whose n-grams are looked up at once.
+_SLICE, _BLOCK = 4 << 20, 1 << 17
 _SCALE, _ZERO = 10.0, 128
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _U = np.uint64
@@ -61,16 +63,22 @@ def classes(context: np.ndarray) -> np.ndarray:
     return _hash(context & _U((1 << 8 * ROOT) - 1)) >> _U(54)
 
 
-def slots(context: np.ndarray, node: np.ndarray, depth: int) -> np.ndarray:
+def places(context: np.ndarray, depth: int, number: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """What slots() needs of a context at a depth: its last bytes with room for a node, and the start of its class's range."""
+    context = (context & _U((1 << 8 * depth) - 1)) << _U(8)
+    if depth < ROOT:
+        return context, np.zeros(1, np.uint64)
+    number = classes(context >> _U(8)) if number is None else number
+    return context + _U(depth << 60), number << _U(SLOT_BITS[depth] - 10)
+
+
+def slots(place: tuple[np.ndarray, np.ndarray], node: np.ndarray, depth: int) -> np.ndarray:
     """The slot of a bit's node (1, then the bits before it) in the table of a context depth; one class has a range of its own."""
-    bits = SLOT_BITS[depth]
-    context = context & _U((1 << 8 * depth) - 1)
-    if depth == 1:
-        return (context << _U(8) | node).astype(np.int64)
-    if depth == 2:
-        return (_hash(context << _U(8) | node) >> _U(64 - bits)).astype(np.int64)
-    low = _hash((context << _U(8) | node) + _U(depth)) >> _U(64 - bits + 10)
-    return (classes(context) << _U(bits - 10) | low).astype(np.int64)
+    context, start = place
+    if depth < 2:
+        return (context | node).astype(np.int64)
+    bits = SLOT_BITS[depth] - (10 if depth >= ROOT else 0)
+    return (start | _hash(context | node) >> _U(64 - bits)).astype(np.int64)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -125,7 +133,7 @@ def up(keys: np.ndarray, depth: int, *values: np.ndarray) -> tuple[np.ndarray, .
 
 def packed(depth: int, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray, odds: np.ndarray, offset: int, size: int) -> bytes:
     """Two bytes for each slot from offset on: log-odds of a one (0: never seen) and of the tree's end. Nodes that share a slot are one."""
-    at, zeros, ones, odds = _summed(slots(keys >> _U(8), keys & _U(255), depth) if depth else (keys & _U(255)).astype(np.int64), zeros, ones, odds)
+    at, zeros, ones, odds = _summed(slots(places(keys >> _U(8), depth), keys & _U(255), depth), zeros, ones, odds)
     out = np.zeros((size, 2), np.uint8)
     out[at - offset, 0] = _code(np.log((ones + 0.5) / (zeros + 0.5)))
     out[at - offset, 1] = _code(odds)
@@ -142,7 +150,7 @@ _PROBABILITY = 1 / (1 + np.exp(-(np.arange(256) - _ZERO) / _SCALE))
 class Model:
     """The tables of all depths, and a task's memory of what it has scored."""
 
-    def __init__(self, tables: dict[int, bytes], depth: int = DEPTH) -> None:
+    def __init__(self, tables: dict[int, bytes | bytearray], depth: int = DEPTH) -> None:
         self.depth = depth
         self.tables = {d: np.frombuffer(t, np.uint8).reshape(-1, 2) for d, t in tables.items()}
         self.keys = np.full(_MEMO, np.iinfo(np.uint64).max, np.uint64)
@@ -151,8 +159,8 @@ class Model:
     def log2(self, grams: np.ndarray) -> np.ndarray:
         """log2 of the probability of each gram's byte after its context."""
         out = np.empty(len(grams), np.float32)
-        for start in range(0, len(grams), 1 << 20):
-            part = grams[start : start + (1 << 20)]
+        for start in range(0, len(grams), _BLOCK):
+            part = grams[start : start + _BLOCK]
             at = (_hash(part) >> _U(64 - 21)).astype(np.int64)
             got = self.values[at]
             missing = np.flatnonzero(self.keys[at] != part)
@@ -169,13 +177,15 @@ class Model:
 
     def _log2(self, grams: np.ndarray) -> np.ndarray:
         byte, context = grams & _U(255), grams >> _U(8)
+        number = classes(context)
+        at = [places(context, d, number) for d in range(self.depth + 1)]
         total = np.zeros(len(grams))
         for bit in range(8):
             node = _U(1 << bit) | byte >> _U(8 - bit)
             one = (byte >> _U(7 - bit) & _U(1)).astype(bool)
             mixed, below = np.full(len(grams), 0.5), np.zeros(len(grams), bool)
             for depth in range(self.depth, -1, -1):
-                entry = self.tables[depth][slots(context, node, depth) if depth else node.astype(np.int64)]
+                entry = self.tables[depth][slots(at[depth], node, depth)]
                 seen = entry[:, 0] > 0
                 own = _PROBABILITY[entry[:, 0]]
                 ends = np.where(below, _PROBABILITY[entry[:, 1]], 1.0)
@@ -207,7 +217,7 @@ def gram_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["gram", "n"])
 
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, _SLICE):
                 kept.append(np.unique(_grams(_bodies(piece.column("text").to_pylist()), depth), return_counts=True))
                 if sum(len(k) for k, _ in kept) > 1 << 22:
                     kept = [merged()]
@@ -219,7 +229,7 @@ def gram_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
     return training.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def trained(training: DataFrame, depth: int = DEPTH) -> dict[int, bytes]:
+def trained(training: DataFrame, depth: int = DEPTH) -> dict[int, bytes | bytearray]:
     """The model's tables, from the n-grams of all training texts.
 
     The tree is weighed from its leaves: the weighted probability of a node is the mean of its own estimate and the
@@ -261,7 +271,7 @@ def trained(training: DataFrame, depth: int = DEPTH) -> dict[int, bytes]:
         tables[d] = packed(d, keys, zeros, ones, odds, 0, 1 << SLOT_BITS[d] if d else 256)
         if d:
             keys, zeros, ones, below = up(keys, d, zeros, ones, weight)
-    return {d: bytes(t) for d, t in tables.items()}
+    return tables
 
 
 def _class(last: Column) -> Column:
@@ -286,7 +296,7 @@ def word_counts(training: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, _SLICE):
                 for text in piece.column("text").to_pylist():
                     seen.update(tokens_of(text))
                 if len(seen) > 1 << 20:
@@ -321,20 +331,26 @@ def code_lengths(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(tables.value, depth)
-        chance = {w: log10(c + 0.5) for w, c in common.value.items()}
+        chance = {w: log10(c + 0.5) for w, c in common.value.items()}.get
+        end = log10(ends + 0.5)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, _SLICE):
                 split = [tokens_of(t) for t in piece.column("text").to_pylist()]
                 bodies = [b" ".join(w) + b"\n" for w in split]
                 lengths = np.array([len(b) for b in bodies], np.int64)
                 bits = np.add.reduceat(model.log2(_grams(bodies, depth)), np.cumsum(lengths) - lengths, dtype=np.float64)
-                base, known, rest = [], [], []
+                base, known, rare, numbers, bounds = [], [], [], [], [0]
                 for w in split:
-                    rare = [x for x in w if x not in chance]
-                    base.append(log10(ends + 0.5) + sum(chance[x] for x in w if x in chance) if rare else log10(ends + 0.5) + sum(map(chance.__getitem__, w)))
-                    known.append(len(w) - len(rare) + (ends > 0))
-                    rest.append(list(Counter(rare).items()))
-                entry = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
+                    chances = list(map(chance, w))
+                    if None in chances:
+                        rest = Counter(x for x, c in zip(w, chances) if c is None)
+                        rare.extend(rest)
+                        numbers.extend(rest.values())
+                        chances = [c for c in chances if c is not None]
+                    base.append(end + sum(chances))
+                    known.append(len(chances) + (ends > 0))
+                    bounds.append(len(rare))
+                entries = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
                 columns = [
                     piece.column("doc_id"),
                     piece.column("held_out"),
@@ -343,7 +359,7 @@ def code_lengths(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                     pa.array(base, pa.float64()),
                     pa.array(bits * log10(2), pa.float64()),
                     pa.array(-bits / lengths, pa.float64()),
-                    pa.array([[{"word": a, "n": b} for a, b in x] for x in rest], entry),
+                    pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), entries),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score", "bits_per_byte", "rare"])
 
