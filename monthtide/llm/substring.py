@@ -177,7 +177,7 @@ def _singles(rows: DataFrame, lists: dict[str, DataFrame], window: int, done: li
             columns = [pa.array(h), pa.array(np.minimum(n, 2), pa.int32()), *(pa.array(x, t) for x, t in zip(place, (pa.int64(), pa.int32(), pa.int32())))]
             yield pa.RecordBatch.from_arrays(columns, ["h", "n", "id", "tag", "at"])
 
-    anchors = _with_lists(rows.select("id", "tag", "text"), lists).mapInArrow(per_batch(emit), "h long, n int, id long, tag int, at int")
+    anchors = _with_lists(rows, lists).mapInArrow(per_batch(emit), "h long, n int, id long, tag int, at int")
     alone = anchors.groupBy("h").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in ("id", "tag", "at"))).where("n = 1")
     return alone.groupBy("id", "tag").agg(F.collect_list("at").alias("at"))
 
@@ -215,7 +215,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], ["anchor", "hash", "id", "tag", "at"])
 
     kind = "anchor long, hash long, id long, tag int, at int"
-    whole = _with_lists(rows.select("id", "tag", "text"), lists).mapInArrow(per_batch(emit), kind)
+    whole = _with_lists(rows, lists).mapInArrow(per_batch(emit), kind)
     # each batch has one row per window, so nothing is left to sum before the shuffle; windows of one anchor stay together
     first = whole.repartition("anchor").groupBy("anchor", "hash").agg(F.min(F.struct("id", "tag", "at")).alias("at")).select("at.*")
     first = first.groupBy("id", "tag").agg(F.collect_list("at").alias("at"))
