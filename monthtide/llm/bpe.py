@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +25,8 @@ from monthtide.llm.common import per_batch
 
 #: Words in the lexicon. It decides how many words are merged anew, never what they become.
 LEXICON_WORDS = 1 << 15
+#: Distinct pieces that a task remembers at once.
+_KNOWN = 1 << 19
 
 
 def _byte_letters() -> list[str]:
@@ -75,6 +80,8 @@ class Splitter:
         self.find = regex.compile(vocabulary.pattern).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.added, key=len, reverse=True))) + ")") if vocabulary.added else None
         self.marks = tuple(vocabulary.added)
+        plain = vocabulary.pattern.replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]").replace(r"[^\s\p{L}\p{N}]", r"[^ \t\n\r\x0b\x0ca-z0-9]")
+        self.find_ascii = self.find if "\\p" in plain or "\\s" in plain else re.compile(plain).findall  # the same for lower-case ASCII, faster
 
     def __call__(self, text: str | None) -> list[str]:
         text = text or ""
@@ -86,9 +93,9 @@ class Splitter:
         return out
 
     def _plain(self, text: str) -> list[str]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # str.lower alone has a rule for word ends
-        return self.find(text.lower())
+        if text.isascii():
+            return self.find_ascii(text.lower())
+        return self.find(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())  # str.lower alone has a rule for word ends
 
 
 class Lexicon:
@@ -199,14 +206,24 @@ class Lexicon:
 def frequent_pieces(docs: DataFrame, vocabulary: Vocabulary, count: int) -> list[str]:
     """The most frequent pieces of all texts, ties in the order of the pieces."""
 
-    def tally(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, seen = Splitter(vocabulary), Counter()
-        for text in batch.column("text"):
-            seen.update(split(text.as_py()))
-        yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["piece", "n"])
 
-    seen = docs.select("text").mapInArrow(per_batch(tally), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    return [r["piece"] for r in seen.orderBy(F.desc("n"), "piece").limit(count).collect()]
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["piece", "n"])
+
+        for batch in batches:
+            for text in batch.column("text"):
+                seen.update(split(text.as_py()))
+                if len(seen) > _KNOWN:
+                    yield out()
+                    seen.clear()
+        if seen:
+            yield out()
+
+    seen = docs.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    seen = seen.orderBy(F.desc("n"), "piece").limit(count)
+    return [r["piece"] for r in seen.collect()]
 
 
 def lexicon_file(docs: DataFrame, vocabulary: Vocabulary, count: int = LEXICON_WORDS) -> str:
@@ -220,32 +237,51 @@ def lexicon_file(docs: DataFrame, vocabulary: Vocabulary, count: int = LEXICON_W
 
 
 class Encoder:
-    """Encodes batches of texts: each distinct piece is looked up in the lexicon, or else merged."""
+    """Encodes batches of texts: each piece not seen lately is looked up in the lexicon, or else merged."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon) -> None:
         self.vocabulary, self.lexicon, self.split = vocabulary, lexicon, Splitter(vocabulary)
         self.bounds, self.ids = lexicon.starts.tolist(), lexicon.ids.tolist()
+        self._forget()
 
-    def __call__(self, texts: Iterable[str | None]) -> list[list[int]]:
-        split = [self.split(t) for t in texts]
-        pieces = list({p for x in split for p in x})
-        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        numbers = self.lexicon.find(raw).tolist()
-        known = {p: self._ids(p, b, n) for p, b, n in zip(pieces, raw, numbers)}
-        out = []
-        for x in split:
-            got: list[int] = []
-            for p in x:
-                got += known[p]
-            out.append(got)
-        return out
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}  # of a piece, under which its ids and its text are found below
+        self.flat, self.starts, self.texts = array("i"), array("q", [0]), []
 
-    def _ids(self, piece: str, raw: bytes, number: int) -> list[int]:
-        if piece in self.vocabulary.added:
-            return [self.vocabulary.added[piece]]
-        if number >= 0:
-            return self.ids[self.bounds[number] : self.bounds[number + 1]]
-        return self.vocabulary.merged(raw)
+    def _learn(self, pieces: list[str]) -> None:
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        tokens = self.vocabulary.tokens
+        for piece, octets, found in zip(pieces, raw, self.lexicon.find(raw).tolist()):
+            if piece in self.vocabulary.added:
+                ids = [self.vocabulary.added[piece]]
+            elif found >= 0:
+                ids = self.ids[self.bounds[found] : self.bounds[found + 1]]
+            else:
+                ids = self.vocabulary.merged(octets)
+            self.number[piece] = len(self.texts)
+            self.flat.extend(ids)
+            self.starts.append(len(self.flat))
+            self.texts.append(" ".join([tokens[i] for i in ids]))
+
+    def __call__(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(ids of all texts, where each text's ids start, with the end, and the tokens of each text joined by blanks)."""
+        split = [self.split(t) for t in texts]
+        new = {p for x in split for p in x if p not in self.number}
+        if new and len(self.number) + len(new) > _KNOWN:
+            self._forget()
+            new = {p for x in split for p in x}
+        self._learn(list(new))
+        number, text = self.number.__getitem__, self.texts.__getitem__
+        numbers = [list(map(number, x)) for x in split]
+        decoded = [" ".join(map(text, x)) for x in numbers]
+        at = np.fromiter(chain.from_iterable(numbers), np.int64, sum(map(len, numbers)))
+        starts = np.frombuffer(self.starts, np.int64).copy()
+        lengths = starts[at + 1] - starts[at]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - lengths), lengths)
+        ids = np.frombuffer(self.flat, np.int32).copy()[places] if len(places) else np.zeros(0, np.int32)
+        bounds = np.append(0, ends)[np.cumsum([0, *map(len, numbers)])]
+        return ids, bounds, decoded
 
 
 def encode_decode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -263,13 +299,12 @@ def encode_decode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, Lexicon.mapped(SparkFiles.get(name)))
-        tokens = [vocabulary.tokens.get(i, "") for i in range(max(vocabulary.tokens) + 1)]
 
         def work(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-            ids = encoder(batch.column("text").to_pylist())
-            decoded = [" ".join([tokens[i] for i in x]) for x in ids]
+            ids, bounds, decoded = encoder(batch.column("text").to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             columns = [batch.column(c) for c in others]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], [*others, "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(decoded, pa.string())], [*others, "ids", "decoded"])
 
         yield from per_batch(work)(batches)
 
