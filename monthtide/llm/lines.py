@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import LAST_ID, SPACES, settled
+from monthtide.llm.common import LAST_ID, SPACES, settled, small
 
 #: lgK of the sketches; their relative standard error is about 1.04 / sqrt(2^lgK).
 SKETCH = 12
@@ -47,7 +47,7 @@ def spread_lines(rows: DataFrame, min_sites: int) -> DataFrame:
     )
     near = F.abs(F.col("n_sites") - min_sites) <= max(1.0, MARGIN * 1.04 / 2 ** (SKETCH / 2) * min_sites)
     close = found.where(near).select("high", "low", "first")
-    pairs = rows.join(settled(close.select("high", "low")), ["high", "low"], "left_semi").groupBy("high", "low", "site").agg(F.lit(1).alias("n"))
+    pairs = rows.join(small(close.select("high", "low")), ["high", "low"], "left_semi").groupBy("high", "low", "site").agg(F.lit(1).alias("n"))
     exact = pairs.groupBy("high", "low").agg(F.count("*").alias("n_sites")).join(close, ["high", "low"])
     return found.where(~near).unionByName(exact).where(F.col("n_sites") >= min_sites)
 
@@ -75,9 +75,9 @@ def _drops(docs: DataFrame, min_sites: int, min_chars: int) -> DataFrame:
     """(_id, _hash, _drop): the places of the lines that go, by document."""
     lines = line_rows(docs, min_chars)
     often = settled(lines.groupBy("high", "low").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("high", "low"))
-    asked = settled(lines.join(often, ["high", "low"], "left_semi"))
+    asked = settled(lines.join(small(often), ["high", "low"], "left_semi"))
     spread = settled(spread_lines(asked, min_sites).select("high", "low", "first"))
-    gone = asked.join(spread, ["high", "low"]).where(F.struct("id", "hash", "at") != F.col("first"))
+    gone = asked.join(small(spread), ["high", "low"]).where(F.struct("id", "hash", "at") != F.col("first"))
     return gone.groupBy(F.col("id").alias("_id"), F.col("hash").alias("_hash")).agg(F.collect_set("at").alias("_drop"))
 
 
