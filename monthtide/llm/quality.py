@@ -18,24 +18,29 @@ THRESHOLD = -0.05
 REPEAT = 8
 
 
-def base_metrics(text: Column, found: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text and its words; all zero for null and empty texts."""
+def base_metrics(text: Column, hashes: Column) -> dict[str, Column]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text and its words' hashes; all zero for null and empty texts."""
     whole = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
     return {
-        "n_words": F.size(found).cast("long"),
+        "n_words": F.size(hashes).cast("long"),
         "word_chars": F.length(F.translate(whole, SPACES, "")).cast("long"),
         "n_symbols": (F.length(whole) - F.length(F.translate(whole, "#*$%&|<>", ""))).cast("long"),
         "n_dup_lines": bound(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")),
-        "n_repeat_words": _repeat_words(found),
+        "n_repeat_words": _repeat_words(hashes),
     }
 
 
-def _repeat_words(found: Column) -> Column:
-    """Words inside windows whose sequence occurs twice or more; windows are compared by a 64-bit hash within the text."""
+def word_hashes(text: Column) -> Column:
+    """A 64-bit hash of each word of a text."""
+    return F.transform(words(text), lambda w: F.xxhash64(w))
+
+
+def _repeat_words(words: Column) -> Column:
+    """Words inside windows whose sequence occurs twice or more; windows are compared by hashes of 64 bits within the text."""
     none = F.lit(0).cast("long")
-    starts = F.sequence(F.lit(1), F.size(found) - (REPEAT - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(found, i, REPEAT)))
+    starts = F.sequence(F.lit(1), F.size(words) - (REPEAT - 1))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, REPEAT)))
 
     def twice(order: Column) -> Column:
         def at(x: Column, k: Column) -> Column:
@@ -54,23 +59,19 @@ def _repeat_words(found: Column) -> Column:
         alone = F.size(all_hashes) == F.size(F.array_distinct(all_hashes))
         return F.when(alone, none).otherwise(covered(bound(order, twice)))
 
-    return F.when(F.size(found) < REPEAT, none).otherwise(bound(hashes, counted))
+    return F.when(F.size(words) < REPEAT, none).otherwise(bound(hashes, counted))
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < 20) | (100 * n_repeat_words > 30 * n_words)
 
 
-def ngram_buckets(found: Column, buckets: int = BUCKETS) -> Column:
-    """The buckets of the unigrams and bigrams of a list of words."""
-    bucket = lambda x: F.pmod(F.xxhash64(x), F.lit(buckets)).cast("int")
-
-    def both(lowered: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(lowered) - 1), lambda i: bucket(F.slice(lowered, i, 2)))
-        pairs = F.when(F.size(lowered) > 1, pairs).otherwise(F.array().cast("array<int>"))
-        return F.concat(F.transform(lowered, bucket), pairs)
-
-    return bound(F.transform(found, F.lower), both)
+def ngram_buckets(hashes: Column, buckets: int = BUCKETS) -> Column:
+    """The buckets of the unigrams and bigrams of a list of words, given by their hashes."""
+    size = F.size(hashes) - 1
+    pairs = F.zip_with(F.slice(hashes, F.lit(1), size), F.slice(hashes, F.lit(2), size), lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
+    pairs = F.when(size > 0, pairs).otherwise(F.array().cast("array<int>"))
+    return F.concat(F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int")), pairs)
 
 
 def likelihood_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> list[float]:
@@ -81,7 +82,7 @@ def likelihood_table(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS
     """
     chosen = small(trusted.select(F.col("doc_id").cast("long").alias("trusted_id")).where("trusted_id IS NOT NULL").distinct())
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(chosen, F.col("id") == F.col("trusted_id"), "left")
-    grams = rows.select(F.col("trusted_id").isNotNull().alias("good"), F.explode(ngram_buckets(words(F.col("text")), buckets)).alias("bucket"))
+    grams = rows.select(F.col("trusted_id").isNotNull().alias("good"), F.explode(bound(word_hashes(F.col("text")), lambda h: ngram_buckets(h, buckets))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count_if("good").alias("good"))
     return _ratios({r["bucket"]: (r["raw"], r["good"]) for r in counts.collect()}, buckets)
 
@@ -113,7 +114,7 @@ def judgement(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Co
         mean = F.when(F.size(found) > 0, total / (2 * F.size(found) - 1)).otherwise(F.lit(0.0))
         return F.struct(*(v.alias(k) for k, v in values.items()), mean.alias("llr"))
 
-    return bound(words(F.col("text")), judged)
+    return bound(word_hashes(F.col("text")), judged)
 
 
 def _kept(judged: Column, threshold: float) -> Column:
