@@ -168,7 +168,8 @@ def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tupl
         rows = [grammar.features(t) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column("toxic")], ["x", "toxic"])
 
-    measured = second.mapInArrow(per_batch(measure), "x array<double>, toxic boolean").orderBy("toxic", "x").collect()
+    measured = second.mapInArrow(per_batch(measure), "x array<double>, toxic boolean").collect()
+    measured.sort(key=lambda r: (r["toxic"], r["x"]))  # sums in one order, whatever came first
     if not measured:
         return grammar, np.zeros(len(_FORM_FEATURES))
     return grammar, _logistic(np.array([r["x"] for r in measured]), np.array([r["toxic"] for r in measured], float))
