@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthtide.llm.common import per_batch
+from monthtide.llm.common import slices, tidy
 
 #: Words in the lexicon. It decides how many words are merged anew, never what they become.
 LEXICON_WORDS = 1 << 15
-#: Distinct pieces that a task remembers at once.
-_KNOWN = 1 << 19
+#: Distinct pieces that a task remembers at once, and bytes of texts that it encodes at once.
+_KNOWN = 1 << 18
+_SLICE = 4 << 20
 
 
 def _byte_letters() -> list[str]:
@@ -221,7 +222,7 @@ def frequent_pieces(docs: DataFrame, vocabulary: Vocabulary, count: int) -> list
         if seen:
             yield out()
 
-    seen = docs.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+    seen = docs.select("text").mapInArrow(tidy(run), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     seen = seen.orderBy(F.desc("n"), "piece").limit(count)
     return [r["piece"] for r in seen.collect()]
 
@@ -306,6 +307,8 @@ def encode_decode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS
             columns = [batch.column(c) for c in others]
             yield pa.RecordBatch.from_arrays([*columns, lists, pa.array(decoded, pa.string())], [*others, "ids", "decoded"])
 
-        yield from per_batch(work)(batches)
+        for batch in batches:
+            for piece in slices(batch, _SLICE):
+                yield from work(piece)
 
-    return docs.select(*others, "text").mapInArrow(run, schema)
+    return docs.select(*others, "text").mapInArrow(tidy(run), schema)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -78,7 +81,20 @@ def per_batch(work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> Cal
             for piece in slices(batch):
                 yield from work(piece)
 
-    return run
+    return tidy(run)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after whose end the worker, which waits for further tasks, gives its free memory back."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
 
 
 def slices(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import settled, slices
+from monthtide.llm.common import settled, slices, tidy
 
 #: Bytes of context.
 DEPTH = 5
@@ -226,7 +226,7 @@ def gram_counts(training: DataFrame, depth: int = DEPTH) -> DataFrame:
         if kept:
             yield out(*merged())
 
-    return training.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    return training.select("text").mapInArrow(tidy(run), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def trained(training: DataFrame, depth: int = DEPTH) -> dict[int, bytes | bytearray]:
@@ -305,7 +305,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         if seen:
             yield out()
 
-    return training.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    return training.select("text").mapInArrow(tidy(run), "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
 def code_lengths(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -364,7 +364,7 @@ def code_lengths(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score", "bits_per_byte", "rare"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, bits_per_byte double, rare array<struct<word: binary, n: bigint>>"
-    scored = settled(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()))
+    scored = settled(rows.mapInArrow(tidy(run), schema).withColumn("row", F.monotonically_increasing_id()))
     rare = scored.select("row", F.inline("rare"))
     found = rare.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more"),

@@ -10,7 +10,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from monthtide.llm.common import per_batch
+from monthtide.llm.common import per_batch, tidy
 
 #: Pre-tokens in a new leaf; a tree is built anew when a leaf has this many times more.
 LEAF, GROWTH = 32, 8
@@ -158,7 +158,7 @@ def _mapped(rows: DataFrame, path: str, pattern: str, work: Callable[[pa.RecordB
         count = Counter(vocabulary, pattern)
         yield from per_batch(lambda batch: work(batch, count))(batches)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def token_trees(docs: DataFrame, path: str, pattern: str) -> DataFrame:
