@@ -53,7 +53,9 @@ def catch_up(
 ) -> StreamingQuery:
     """Start a query that loads all files that arrived, then stops.
 
-    Each micro-batch appends its report below ``report_path``. An asset of
+    Each micro-batch appends its report below ``report_path``. If a load fails, the
+    query fails once all kinds have had their turn, and the next start does that
+    micro-batch again; what was loaded meanwhile is not loaded twice. An asset of
     several parts may arrive over several micro-batches; ``refresh='changed'``
     picks up the later ones. A file counts as arrived once, complete or not:
     with ``first`` every micro-batch looks at all months from there on again, and
@@ -69,11 +71,15 @@ def catch_up(
             .agg(F.min("month").alias("first"), F.max("month").alias("last"))
             .collect()
         )
+        failed = []
         for row in bounds:
             since = min(first or row["first"], row["first"])
             report = run(batch.sparkSession, [by_name[row.kind]], config, since, row["last"], refresh)
             if report_path:
                 report.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(report_path)
+            failed += report.where("status = 'failed'").select("kind", "load_month", "reason").collect()
+        if failed:
+            raise RuntimeError("; ".join(f"{r.kind} {r.load_month}: {r.reason}" for r in failed))
 
     return (
         arrivals(spark, config.landing, files_per_batch)

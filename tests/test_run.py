@@ -255,3 +255,24 @@ def test_merge_reads_only_the_months_and_columns_it_needs(spark):
     scans = [line for line in plan.splitlines() if "yellow_taxi[" in line]
     assert scans and all("ReadSchema: struct<trip_hash:string>" in line for line in scans)
     assert all("pickup_month" in line.split("PartitionFilters: [")[1] and "202507" in line for line in scans)
+
+
+@pytest.mark.parametrize("step", ["_merge", "_record"])
+@pytest.mark.parametrize("mode", ["truncate", "if_empty", "append"])
+def test_a_transient_error_costs_and_doubles_nothing(spark, monkeypatch, mode, step):
+    where = config(spark, write_mode=mode)
+    land(frame(spark, [trip(), trip(), trip(VendorID=2)]), YELLOW, "2025-07", where)
+    real, calls = getattr(monthly_run, step), []
+
+    def flaky(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("transient")
+        return real(*args)
+
+    monkeypatch.setattr(monthly_run, step, flaky)
+    assert go(spark, where)["yellow", "202507"][0] == "failed"
+    assert main(spark, where).count() == 0
+    assert go(spark, where)["yellow", "202507"] == ("loaded", None, 3, 3)
+    assert go(spark, where).get(("yellow", "202507"), ("skipped",))[0] == "skipped"
+    assert main(spark, where).count() == 3
