@@ -26,8 +26,8 @@ from monthtide.llm.common import slices, tidy
 #: Words in the lexicon. It decides how many words are merged anew, never what they become.
 LEXICON_WORDS = 1 << 15
 #: Distinct pieces that a task remembers at once, and bytes of texts that it encodes at once.
-_KNOWN = 1 << 18
-_SLICE = 4 << 20
+_KNOWN = 1 << 19
+_SLICE = 8 << 20
 
 
 def _byte_letters() -> list[str]:
