@@ -11,6 +11,7 @@ import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -28,6 +29,9 @@ LEXICON_WORDS = 1 << 15
 #: Distinct pieces that a task remembers at once, and bytes of texts that it encodes at once.
 _KNOWN = 1 << 19
 _SLICE = 8 << 20
+#: Pieces that are merged together, and bytes beyond which a piece is merged alone, by a heap.
+_TOGETHER = 1 << 15
+_LONG = 64
 
 
 def _byte_letters() -> list[str]:
@@ -57,21 +61,76 @@ class Vocabulary:
         split = next(p for p in said["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = split["pattern"]["Regex"]
 
+        order = sorted((a << 32 | b, rank) for (a, b), rank in self.ranks.items())
+        self._pairs = np.array([*(k for k, _ in order), 1 << 62], np.int64)
+        self._ranks = np.array([*(r for _, r in order), 0], np.int64)
+        self._inner, self._last, self._results = (np.array(x, np.int64) for x in (self.inner, self.last, self.results))
+
     def merged(self, piece: bytes) -> list[int]:
-        """The ids of one piece: the pair of lowest rank is merged, leftmost first, until none is left."""
+        """The ids of one piece: the pair of lowest rank is merged, leftmost first, until none is left.
+
+        A heap of (rank, place) over linked places finds it, so that time grows little faster than length.
+        """
         ids = [self.inner[b] for b in piece[:-1]]
         ids.append(self.last[piece[-1]])
-        rank, none = self.ranks.get, len(self.results)
-        ranks = [rank(p, none) for p in zip(ids, ids[1:])]
-        while ranks and (best := min(ranks)) < none:
-            at = ranks.index(best)
-            ids[at : at + 2] = [self.results[best]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank((ids[at - 1], ids[at]), none)
-            if at < len(ranks):
-                ranks[at] = rank((ids[at], ids[at + 1]), none)
-        return ids
+        size, rank = len(ids), self.ranks.get
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        heap = [(r, at) for at, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
+        heapify(heap)
+        while heap:
+            best, at = heappop(heap)
+            gone = after[at]
+            if gone >= size or rank((ids[at], ids[gone])) != best:
+                continue  # one of the two was merged meanwhile
+            ids[at], ids[gone], after[at] = self.results[best], -1, after[gone]
+            if after[at] < size:
+                before[after[at]] = at
+            for left in (before[at], at):
+                if left >= 0 and after[left] < size and (r := rank((ids[left], ids[after[left]]))) is not None:
+                    heappush(heap, (r, left))
+        return [i for i in ids if i >= 0]
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << 32 | right
+        place = np.searchsorted(self._pairs, pair)
+        return np.where(self._pairs[place] == pair, self._ranks[place], len(self.results))
+
+    def merged_together(self, pieces: list[bytes]) -> list[list[int]]:
+        """The same for many short pieces: in each round, every piece that has a pair to merge merges its first of lowest rank.
+
+        The ids of all pieces lie in one array, a piece's rank at a place is that of the pair which begins there.
+        """
+        none = len(self.results)
+        lengths = np.array([len(p) for p in pieces])
+        body = np.frombuffer(b"".join(pieces), np.uint8)
+        last = np.cumsum(lengths) - 1
+        ids = self._inner[body]
+        ids[last] = self._last[body[last]]
+        ranks = np.append(self._rank(ids[:-1], ids[1:]), none)
+        ranks[last] = none
+        piece = np.arange(len(pieces))
+        out: list[list[int]] = [[]] * len(pieces)
+        bits = len(body).bit_length()
+        while len(piece):
+            first = np.cumsum(lengths) - lengths
+            best = np.minimum.reduceat(ranks << bits | np.arange(len(ranks)), first)
+            more = best >> bits < none
+            ended = np.flatnonzero(~more)
+            for k, start, stop in zip(piece[ended].tolist(), first[ended].tolist(), (first + lengths)[ended].tolist()):
+                out[k] = ids[start:stop].tolist()
+            at = best[more] & ((1 << bits) - 1)
+            ids[at] = self._results[best[more] >> bits]
+            keep = np.repeat(more, lengths)
+            keep[at + 1] = False
+            at = np.cumsum(keep)[at] - 1
+            ids, ranks, piece, lengths = ids[keep], ranks[keep], piece[more], lengths[more] - 1
+            last = np.cumsum(lengths) - 1
+            ranks[at] = none
+            right = at[at < last]
+            ranks[right] = self._rank(ids[right], ids[right + 1])
+            left = at[at > last + 1 - lengths] - 1
+            ranks[left] = self._rank(ids[left], ids[left + 1])
+        return out
 
 
 class Splitter:
@@ -81,8 +140,9 @@ class Splitter:
         self.find = regex.compile(vocabulary.pattern).findall
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.added, key=len, reverse=True))) + ")") if vocabulary.added else None
         self.marks = tuple(vocabulary.added)
-        plain = vocabulary.pattern.replace(r"[\p{L}]", "[a-z]").replace(r"[\p{N}]", "[0-9]").replace(r"[^\s\p{L}\p{N}]", r"[^ \t\n\r\x0b\x0ca-z0-9]")
-        self.find_ascii = self.find if "\\p" in plain or "\\s" in plain else re.compile(plain).findall  # the same for lower-case ASCII, faster
+        letters, numbers, blanks = (re.escape("".join(regex.findall(kind, "".join(map(chr, range(256)))))) for kind in (r"\p{L}", r"\p{N}", r"\s"))
+        plain = vocabulary.pattern.replace(r"[\p{L}]", f"[{letters}]").replace(r"[\p{N}]", f"[{numbers}]").replace(r"[^\s\p{L}\p{N}]", f"[^{blanks}{letters}{numbers}]")
+        self.find_latin = self.find if "\\p" in plain else re.compile(plain).findall  # the same for texts of the first 256 characters, faster
 
     def __call__(self, text: str | None) -> list[str]:
         text = text or ""
@@ -95,8 +155,13 @@ class Splitter:
 
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
-            return self.find_ascii(text.lower())
-        return self.find(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())  # str.lower alone has a rule for word ends
+            return self.find_latin(text.lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # str.lower alone has a rule for word ends
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.find(text)
+        return self.find_latin(text)
 
 
 class Lexicon:
@@ -249,16 +314,21 @@ class Encoder:
         self.number: dict[str, int] = {}  # of a piece, under which its ids and its text are found below
         self.flat, self.starts, self.texts = array("i"), array("q", [0]), []
 
+    def _unseen(self, raw: list[bytes]) -> Iterator[list[int]]:
+        for start in range(0, len(raw), _TOGETHER):
+            some = raw[start : start + _TOGETHER]
+            short = iter(self.vocabulary.merged_together([p for p in some if len(p) <= _LONG]))
+            yield from (next(short) if len(p) <= _LONG else self.vocabulary.merged(p) for p in some)
+
     def _learn(self, pieces: list[str]) -> None:
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        tokens = self.vocabulary.tokens
-        for piece, octets, found in zip(pieces, raw, self.lexicon.find(raw).tolist()):
-            if piece in self.vocabulary.added:
-                ids = [self.vocabulary.added[piece]]
-            elif found >= 0:
-                ids = self.ids[self.bounds[found] : self.bounds[found + 1]]
-            else:
-                ids = self.vocabulary.merged(octets)
+        tokens, added = self.vocabulary.tokens, self.vocabulary.added
+        places = self.lexicon.find(raw).tolist()
+        merged = self._unseen([p for p, found in zip(raw, places) if found < 0])
+        for piece, found in zip(pieces, places):
+            ids = next(merged) if found < 0 else self.ids[self.bounds[found] : self.bounds[found + 1]]
+            if piece in added:
+                ids = [added[piece]]
             self.number[piece] = len(self.texts)
             self.flat.extend(ids)
             self.starts.append(len(self.flat))

@@ -40,6 +40,18 @@ def test_encoder_equals_the_library(vocabulary):
             assert decoded[k] == library.decode(wanted, skip_special_tokens=False)
 
 
+def test_long_words_equal_the_library(vocabulary):
+    library, rng = Tokenizer.from_file(PATH), random.Random(2)
+    texts = ["".join(rng.choices(some, k=n)) for some in ("ab", "theranding", "aéß,'s中9", "x") for n in (64, 65, 66, 200, 3000)]
+    texts += [f"a {t} B\xa0 \x85 {t}<|endoftext|>{t}" for t in texts] + ["\u2003 \xa0", "a" * 200_000]
+    encoder = bpe.Encoder(vocabulary, bpe.Lexicon.compiled({}))
+    ids, bounds, decoded = encoder(texts)
+    for k, text in enumerate(texts):
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == wanted, text[:200]
+        assert decoded[k] == library.decode(wanted, skip_special_tokens=False)
+
+
 def test_query_shape_with_odd_rows(spark):
     rows = [(1, "The cat", 5), (1, "The cat", 5), (None, None, 6), (2, "", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, decoded int")
