@@ -6,6 +6,7 @@ from monthtide.sources.landing import (
     MIN_SIZE,
     changed_landing,
     checksums,
+    finished,
     gate,
     list_landing,
     manifest,
@@ -18,6 +19,7 @@ __all__ = [
     "changed_landing",
     "checksums",
     "conform",
+    "finished",
     "gate",
     "list_landing",
     "manifest",

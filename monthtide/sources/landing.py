@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthtide.functions.fingerprint import identity_json
-from monthtide.sources.files import asset_part, load_month_of
+from monthtide.sources.files import asset_part, list_files, load_month_of
 
 # Fixed value: smaller files count as not (yet) complete.
 MIN_SIZE = 1_000_000
@@ -23,15 +23,6 @@ MIN_SIZE = 1_000_000
 WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 
 
-def _files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(paths)
-    )
-
-
 def list_landing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per landed asset below ``folder``, without opening any file.
 
@@ -40,12 +31,13 @@ def list_landing(spark: SparkSession, folder: str) -> DataFrame:
     """
     path = F.col("path")
     return (
-        _files(spark, folder)
+        list_files(spark, folder)
         .select(asset_part(path, 1).alias("asset"), "path", "length", "modificationTime")
         .where("asset <> ''")
         .groupBy(F.col("asset").alias("path"))
         .agg(
             F.count("*").alias("parts"),
+            F.bool_or(path != F.col("asset")).alias("in_parts"),
             F.sum("length").alias("size"),
             F.max("modificationTime").alias("modified_at"),
         )
@@ -55,6 +47,7 @@ def list_landing(spark: SparkSession, folder: str) -> DataFrame:
             F.regexp_extract(path, r"([^/=]+)$", 1).alias("file_name"),
             "path",
             "parts",
+            "in_parts",
             "size",
             "modified_at",
         )
@@ -77,6 +70,18 @@ def gate(plan: DataFrame, listing: DataFrame, min_size: int = MIN_SIZE) -> DataF
     )
 
 
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether the writer of an asset in parts is done: it leaves ``_SUCCESS``.
+
+    A write partitioned by file name has one for all assets, in the folder above.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if "=" in path.getName():
+        path = path.getParent()
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def pending_landing(candidates: DataFrame, landed: DataFrame, larger_than: int = MIN_SIZE) -> DataFrame:
     """Candidates not landed yet; a landed file counts only above ``larger_than``."""
     kept = landed.where(F.col("size") > larger_than).select("file_name").distinct()
@@ -132,7 +137,7 @@ def checksums(spark: SparkSession, paths: Sequence[str], whole_file_limit: int =
     Files above ``whole_file_limit`` get the digest of their rows. An asset of
     several parts gets an order-free combination of the checksums of its parts.
     """
-    files = _files(spark, list(paths))
+    files = list_files(spark, list(paths))
     large = [r.path for r in files.where(F.col("length") > whole_file_limit).select("path").collect()]
     small = files.where(F.col("length") <= whole_file_limit).select("path", F.md5("content").alias("checksum"))
     parts = reduce(DataFrame.unionByName, [small, *_large_file_digests(spark, large)])

@@ -55,6 +55,48 @@ def test_reloading_everything_adds_nothing(spark):
     assert main(spark, where).count() == 2
 
 
+def add_part(spark, rows, path, ddl=None):
+    frame(spark, rows, ddl=ddl).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_parts_of_one_asset_may_differ(spark):
+    where = config(spark)
+    path = land(frame(spark, [trip()], ddl={"cbd_congestion_fee": None}), YELLOW, "2025-07", where)
+    add_part(spark, [trip(VendorID=2, cbd_congestion_fee=9.5, passenger_count=3.0)], path, {"passenger_count": "double"})
+    assert go(spark, where)["yellow", "202507"] == ("loaded", None, 2, 2)
+    found = {r.VendorID: (r.cbd_congestion_fee, r.passenger_count) for r in main(spark, where).collect()}
+    assert found == {1: (None, 2), 2: (9.5, 3)}
+
+
+def test_an_undeclared_column_in_any_part_fails_the_asset(spark):
+    where = config(spark)
+    path = land(frame(spark, [trip()]), YELLOW, "2025-07", where)
+    add_part(spark, [trip(surprise=1)], path, {"surprise": "int"})
+    land(frame(spark, [trip(pickup=AUGUST_9)]), YELLOW, "2025-08", where)
+    found = go(spark, where)
+    assert found["yellow", "202507"][0] == "failed" and "surprise" in found["yellow", "202507"][1]
+    assert found["yellow", "202508"] == ("loaded", None, 1, 1)
+
+
+def test_an_asset_in_parts_waits_for_its_writer(spark):
+    where = config(spark)
+    path = Path(land(frame(spark, [trip(), trip(VendorID=2)]), YELLOW, "2025-07", where, parts=2))
+    (path / "_SUCCESS").unlink()
+    assert go(spark, where)["yellow", "202507"][:2] == ("skipped", "incomplete")
+    (path / "_SUCCESS").touch()
+    assert go(spark, where)["yellow", "202507"] == ("loaded", None, 2, 2)
+
+
+def test_a_second_copy_fails_its_asset_only(spark):
+    where = config(spark)
+    for folder in ("", "/old"):
+        frame(spark, [trip()]).write.parquet(f"{where.landing}{folder}/yellow_tripdata_2025-07.parquet")
+    land(frame(spark, [trip(GREEN)], GREEN), GREEN, "2025-07", where)
+    found = go(spark, where, (YELLOW, GREEN))
+    assert found["yellow", "202507"][:2] == ("failed", "landed in more than one place")
+    assert found["green", "202507"] == ("loaded", None, 1, 1)
+
+
 def test_a_small_file_is_skipped_until_it_is_complete(spark):
     where = config(spark, min_size=100_000_000)
     path = land(frame(spark, [trip()]), YELLOW, "2025-07", where)
