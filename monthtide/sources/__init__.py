@@ -6,6 +6,7 @@ from monthtide.sources.landing import (
     MIN_SIZE,
     changed_landing,
     checksums,
+    file_md5s,
     finished,
     gate,
     list_landing,
@@ -19,6 +20,7 @@ __all__ = [
     "changed_landing",
     "checksums",
     "conform",
+    "file_md5s",
     "finished",
     "gate",
     "list_landing",

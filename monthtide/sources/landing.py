@@ -13,15 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthtide.functions.fingerprint import identity_json
-from monthtide.sources.files import asset_part, list_files, load_month_of
+from monthtide.sources.files import alike_files, asset_part, list_files, load_month_of
 
 # Fixed value: smaller files count as not (yet) complete.
 MIN_SIZE = 1_000_000
 
-# A task holds one whole file while taking its MD5; larger files are digested
-# row by row instead, by many tasks.
-WHOLE_FILE_LIMIT = 256 * 1024 * 1024
-
 
 def list_landing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per landed asset below ``folder``, without opening any file.
@@ -94,23 +90,14 @@ def changed_landing(candidates: DataFrame, landed: DataFrame, by: Sequence[str]
     return candidates.join(landed.select(*same).distinct(), same, "left_anti")
 
 
-def _sixty_bits(text: Column) -> Column:
-    """First 60 bits of the MD5 of ``text`` as a non-negative bigint."""
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
-
-
-def _word_aggregates(text: Column) -> list[Column]:
-    """Count, sum and xor over a hash of ``text``: independent of row order."""
-    word = _sixty_bits(text)
-    return [
-        F.count("*").alias("n_rows"),
-        F.sum(word.cast("decimal(19,0)")).alias("_sum"),
-        F.bit_xor(word).alias("_xor"),
-    ]
+def _hash_aggregates(text: Column) -> list[Column]:
+    """Count of the rows and sums of both halves of the MD5 of ``text``: independent of row order."""
+    halves = [F.conv(F.substring(F.md5(text), start, 16), 16, 10).cast("decimal(20,0)") for start in (1, 17)]
+    return [F.count("*").alias("n_rows"), F.sum(halves[0]).alias("_first"), F.sum(halves[1]).alias("_second")]
 
 
 def _combined() -> Column:
-    return F.md5(F.concat_ws("-", "n_rows", "_sum", "_xor"))
+    return F.md5(F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in ("n_rows", "_first", "_second")]))
 
 
 def row_digest(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | None = None) -> DataFrame:
@@ -119,35 +106,37 @@ def row_digest(df: DataFrame, by: Sequence[str] = (), columns: Sequence[str] | N
     Every task reduces its own rows, so no group is ever gathered anywhere.
     """
     columns = list(columns or [c for c in df.columns if c not in by])
-    reduced = df.groupBy(*by).agg(*_word_aggregates(identity_json(columns)))
+    reduced = df.groupBy(*by).agg(*_hash_aggregates(identity_json(columns)))
     return reduced.select(*by, "n_rows", _combined().alias("digest"))
 
 
-def _large_file_digests(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
-    digests = []
-    for path in paths:
-        rows = row_digest(spark.read.parquet(path))
-        digests.append(rows.select(F.lit(path).alias("path"), F.col("digest").alias("checksum")))
-    return digests
+def checksums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, checksum`` of each asset: the digest of its rows, by one definition at every size.
 
+    How the rows are ordered or cut into parts does not count. Files with the same
+    physical schema share a scan, and all tasks take part in the digest of a large
+    file; an asset without rows has a checksum, too.
+    """
+    rows = [
+        scan.select(F.col("_metadata.file_path").alias("path"), identity_json(scan.columns).alias("body"))
+        for scan in (spark.read.parquet(*members) for members in alike_files(spark, paths))
+    ]
+    reduced = reduce(DataFrame.unionByName, rows).groupBy("path").agg(*_hash_aggregates(F.col("body")))
+    scanned = asset_part(_as_listed(F.col("path")), 1)
+    sums = reduced.groupBy(scanned.alias("_asset")).agg(*[F.sum(c).alias(c) for c in ("n_rows", "_first", "_second")])
+    assets = list_files(spark, list(paths)).select(asset_part(F.col("path"), 1).alias("path")).where("path <> ''").distinct()
+    return assets.join(sums, F.col("path") == F.col("_asset"), "left").select("path", _combined().alias("checksum"))
 
-def checksums(spark: SparkSession, paths: Sequence[str], whole_file_limit: int = WHOLE_FILE_LIMIT) -> DataFrame:
-    """``path, checksum`` of each asset: the MD5 of its bytes if it is one file.
 
-    Files above ``whole_file_limit`` get the digest of their rows. An asset of
-    several parts gets an order-free combination of the checksums of its parts.
-    """
-    files = list_files(spark, list(paths))
-    large = [r.path for r in files.where(F.col("length") > whole_file_limit).select("path").collect()]
-    small = files.where(F.col("length") <= whole_file_limit).select("path", F.md5("content").alias("checksum"))
-    parts = reduce(DataFrame.unionByName, [small, *_large_file_digests(spark, large)])
-    asset = asset_part(F.col("path"), 1)
-    return (
-        parts.where(asset != "")
-        .groupBy(asset.alias("path"))
-        .agg(F.min("checksum").alias("checksum"), *_word_aggregates(F.col("checksum")))
-        .select("path", F.when(F.col("n_rows") == 1, F.col("checksum")).otherwise(_combined()).alias("checksum"))
-    )
+def _as_listed(path: Column) -> Column:
+    """A path of a scan as listings write it: not escaped, and local ones with one slash."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "file:/")
+
+
+def file_md5s(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, md5`` of the bytes of each file; a task holds one whole file."""
+    return list_files(spark, list(paths)).select("path", F.md5("content").alias("md5"))
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:

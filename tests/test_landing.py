@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from monthtide import due_spans, gate, manifest, plan_assets
-from monthtide.sources import changed_landing, checksums, list_landing, pending_landing, row_digest
+from monthtide.sources import changed_landing, checksums, file_md5s, list_landing, pending_landing, row_digest
 
 FILE = "yellow_tripdata_2025-07.parquet"
 
@@ -44,20 +44,37 @@ def test_listing_opens_no_file(spark, landing):
     assert "content" not in plan
 
 
-def test_checksum_is_the_md5_of_the_file(spark, landing):
-    found = {Path(r.path).name: r for r in manifest(spark, str(landing)).collect()}
-    assert found[FILE].checksum == hashlib.md5((landing / FILE).read_bytes()).hexdigest()
-    assert len(found) == 3
+def test_manifest_has_a_checksum_for_every_asset(spark, landing):
+    found = {Path(r.path).name: r.checksum for r in manifest(spark, str(landing)).collect()}
+    assert len(found) == len(set(found.values())) == 3 and None not in found.values()
 
 
-def test_checksum_of_parts_and_of_large_files_follows_the_contents(spark, landing, tmp_path):
-    asset = str(landing / "yellow_tripdata_2025-08.parquet")
-    def digest(limit):
-        return checksums(spark, [asset], limit).first().checksum
-    whole, by_rows = digest(1 << 30), digest(1)
-    assert whole == digest(1 << 30) and by_rows == digest(1)
-    spark.read.parquet(asset).where("id > 0").coalesce(1).write.mode("append").parquet(asset)
-    assert digest(1 << 30) != whole and digest(1) != by_rows
+def test_md5_is_that_of_the_bytes(spark, landing):
+    found = {Path(r.path).name: r.md5 for r in file_md5s(spark, [str(landing)]).collect()}
+    assert found[FILE] == hashlib.md5((landing / FILE).read_bytes()).hexdigest()
+
+
+def test_checksum_follows_the_rows_and_not_how_they_lie(spark, tmp_path):
+    rows = spark.range(100).withColumn("v", F.col("id") % 7)
+    def digest(name, rows, parts):
+        path = str(tmp_path / name / "a b+c%20d=" / FILE)
+        rows.coalesce(parts).write.parquet(path)
+        return checksums(spark, [path]).first().checksum
+    whole = digest("a", rows, 1)
+    assert digest("b", rows.repartition(5), 5) == whole
+    assert digest("c", rows.orderBy(F.desc("id")), 1) == whole
+    assert digest("d", rows.union(rows.limit(1)), 1) != whole
+    assert digest("e", rows.withColumn("v", F.col("v").cast("double")), 1) != whole
+    assert len(digest("f", rows.limit(0), 1)) == 32
+
+
+def test_plan_of_checksums_does_not_grow_with_the_files(spark, tmp_path):
+    def scans(months):
+        folder = str(tmp_path / f"m{months}")
+        for month in range(1, months + 1):
+            spark.range(10).write.parquet(f"{folder}/yellow_tripdata_2025-{month:02}.parquet")
+        return checksums(spark, [folder])._jdf.queryExecution().executedPlan().toString().count("FileScan")
+    assert scans(2) == scans(6)
 
 
 def test_row_digest_ignores_order_but_not_nulls_or_copies(spark):
