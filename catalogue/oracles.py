@@ -176,3 +176,12 @@ ORACLES: dict[str, str] = {
                strftime(o_orderdate, '%Y%m') as pickup_month
         from orders""",
 }
+
+# Ways and modes that must give what the plain run gives.
+for _same, _as in {
+    "monthly_run_shuffled": "monthly_run",
+    "run_if_empty": "monthly_run",
+    "run_append": "monthly_run",
+    "load_report_shuffled": "load_report",
+}.items():
+    ORACLES[_same] = ORACLES[_as]

@@ -284,9 +284,10 @@ def _land(rows: DataFrame, kind: str, month: str, folder: str) -> None:
     assets.hint("rebalance", "asset").write.mode("append").partitionBy("asset").parquet(folder)
 
 
-def _config(spark: SparkSession, purpose: str) -> Config:
+def _config(spark: SparkSession, purpose: str, **options) -> Config:
     root = work_folder(spark, purpose)
-    return Config(database=f"runs_{uuid.uuid4().hex}", root=f"{root}/tables", landing=f"{root}/landing", min_size=1)
+    folders = {"root": f"{root}/tables", "landing": f"{root}/landing"}
+    return Config(database=f"runs_{uuid.uuid4().hex}", min_size=1, **folders, **options)
 
 
 def _land_lineitem(spark: SparkSession, sf_dir: str, config: Config) -> None:
@@ -309,17 +310,41 @@ def _span(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{bounds['first']:%Y-%m}", f"{bounds['last']:%Y-%m}"
 
 
-def monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = _config(spark, "run")
+def _main_after_runs(spark: SparkSession, sf_dir: str, runs: int, **options) -> DataFrame:
+    config = _config(spark, "run", **options)
     _land_lineitem(spark, sf_dir, config)
-    run(spark, [LINEITEM], config, *_span(spark, sf_dir)).collect()
+    for _ in range(runs):
+        run(spark, [LINEITEM], config, *_span(spark, sf_dir), refresh="all").collect()
     main = spark.table(f"{config.database}.{LINEITEM.main_table}")
     return zoneless(main)
 
 
-def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def monthly_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _main_after_runs(spark, sf_dir, runs=1)
+
+
+def monthly_run_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the ways that large months take: nothing counts as few."""
+    return _main_after_runs(spark, sf_dir, runs=1, probe_rows=0)
+
+
+def run_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same files; the second finds every month filled."""
+    return _main_after_runs(spark, sf_dir, runs=2, write_mode="if_empty")
+
+
+def run_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same files; the second stages all rows again and adds none."""
+    return _main_after_runs(spark, sf_dir, runs=2, write_mode="append")
+
+
+def load_report_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_report(spark, sf_dir, probe_rows=0)
+
+
+def load_report(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Report of a run over two kinds at once."""
-    config = _config(spark, "report")
+    config = _config(spark, "report", **options)
     _land_lineitem(spark, sf_dir, config)
     _land_orders(spark, sf_dir, config)
     report = run(spark, [LINEITEM, ORDERS], config, *_span(spark, sf_dir))
@@ -370,7 +395,11 @@ QUERIES: dict[str, Query] = {
         "merge_on_keys": merge_on_keys,
         "merge_months_in_order": merge_months_in_order,
         "monthly_run": monthly_run,
+        "monthly_run_shuffled": monthly_run_shuffled,
+        "run_if_empty": run_if_empty,
+        "run_append": run_append,
         "load_report": load_report,
+        "load_report_shuffled": load_report_shuffled,
         "stream_catch_up": stream_catch_up,
     }.items()
 }
