@@ -16,7 +16,7 @@ UNITS = (
 
 # private-use characters stand for the typed placeholders
 _NUMBER, _UNIT, _NAME = "", "", ""
-_NAME_PATTERN = r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}+"
+_NAME_PATTERN = r"(?<=[\p{Ll},;] )\p{Lu}\p{Ll}\p{L}*"
 _NUMBER_PATTERN = r"\p{Sc}?\d+(?:[.,:]\d+)*"
 _UNIT_PATTERN = "(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
 _SLOTS = f"(?:{_NAME_PATTERN})|(?:{_NUMBER_PATTERN}(?: ?{_UNIT_PATTERN})?)"
@@ -33,9 +33,10 @@ def _clean(text: Column) -> Column:
 def template(text: Column) -> Column:
     """The lower-case tokens of a text, with names, numbers and units replaced by typed placeholders.
 
-    A name is a capitalised word after a small letter or comma and a blank, a unit one of UNITS after a number.
+    A name is a capitalised word after a small letter or comma and a blank, a unit one of UNITS after a number. A name
+    is all letters of its word, and each placeholder a token of its own, so that the slots of a text are its values.
     """
-    marked = F.regexp_replace(_clean(text), _NAME_PATTERN, _NAME)
+    marked = F.regexp_replace(_clean(text), _NAME_PATTERN, f" {_NAME} ")
     marked = F.regexp_replace(marked, _NUMBER_PATTERN, f" {_NUMBER} ")
     marked = F.regexp_replace(marked, f"{_NUMBER}  ?{_UNIT_PATTERN}", f"{_NUMBER} {_UNIT} ")
     return F.array_remove(F.split(F.lower(marked), _CUT), "")

@@ -187,6 +187,18 @@ def test_leaks_with_other_names_and_numbers(spark):
     assert decontaminate.leaks(docs.limit(0), bench).count() == 0 == decontaminate.leaks(docs, bench.limit(0)).count()
 
 
+def test_each_place_of_a_template_has_its_own_value(spark):
+    texts = ["we saw a YouTube video, the McDonald Tom5 and Tom½ or Ann_x, Bob's 5km 12 km5 3 %7 $4.50 x2", "a TomÅsa b Éva", "he said Jo", None, "", "7", "the iPhone, Max²"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("tokens", decontaminate.template(F.col("text")))
+    places = F.size(F.filter("tokens", lambda t: t.isin(decontaminate._NUMBER, decontaminate._NAME)))
+    values = F.size(F.regexp_extract_all(decontaminate._clean(F.col("text")), F.lit(decontaminate._SLOTS), F.lit(0)))
+    assert all(a == b for a, b in rows.select(places, values).collect())
+    item = "On Monday the farmer, Tom sold 12 kg of apples to his friend, Ann and later, Tom bought 7 more boxes of pears"
+    docs = table(spark, [f"we saw a YouTube video . {item} .", f"at the McDonald . {item}"])
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {(r.doc_id, r.n_changed) for r in decontaminate.leaks(docs, bench).collect()} == {(0, 0), (1, 0)}
+
+
 # --- chat
 
 
