@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthtide.llm.common import LAST_ID, bound, settled, small
@@ -62,43 +62,92 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: floa
     Texts become templates: names, numbers and units are typed placeholders. A document holds an item if its template
     has at least the given share of the item's windows of so many tokens, and the slots of the matched windows are
     consistent: each value of the item always became one value of the document, and no two became the same. So a
-    question with other names and numbers is caught, and n_changed tells how many of its values differ.
+    question with other names and numbers is caught, and n_changed tells how many of its values differ. Consistent
+    must be any one occurrence with that share, or all matched windows together; n_slots and n_changed are those of
+    the consistent occurrence with the fewest changes.
 
     Null and empty texts and items of fewer tokens than a window have no windows and match nothing. Rows without a
     doc_id are matched, too; rows with one doc_id and different texts are different documents; rows repeated in full
     count once; items repeated under one item_id are one item with the windows of all. Empty tables give no rows.
     """
-    items = benchmark.select(F.col("item_id").alias("item_id"), "text").distinct()
-    item_windows = items.select("item_id", F.posexplode(bound(template(F.col("text")), lambda t: _windows(t, window))).alias("item_at", "w"))
-    item_windows = settled(item_windows.groupBy("item_id", "w").agg(F.min("item_at").alias("item_at")))
-    sizes = item_windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    items = benchmark.select(F.col("item_id").alias("item_id"), F.xxhash64("text").alias("version"), "text").distinct()
+    places = items.select("item_id", "version", F.posexplode(bound(template(F.col("text")), lambda t: _windows(t, window))).alias("item_at", "w"))
+    places = settled(places)
+    item_windows = places.groupBy("item_id", "w").agg(F.min(F.struct("item_at", "version")).alias("first")).select("item_id", "w", "first.*")
+    sizes = places.groupBy("item_id").agg(F.count_distinct("w").alias("n_windows"))
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("text_hash"), "text"
     )
     grams = rows.select("id", "text_hash", F.posexplode(bound(template(F.col("text")), lambda t: _windows(t, window))).alias("at", "w"))
-    hits = settled(grams.join(small(item_windows), "w").select("id", "text_hash", "at", "item_id", "item_at", "w"))
+    hits = settled(grams.join(small(item_windows), "w").select("id", "text_hash", "at", "item_id", "version", "item_at", "w"))
     enough = hits.groupBy("id", "text_hash", "item_id").agg(F.count_distinct("w").alias("n_matched")).join(small(sizes), "item_id")
     enough = settled(enough.where(F.col("n_matched") >= coverage * F.col("n_windows")))
-    checked = _slot_pairs(rows, items, hits, enough, window)
-    out = enough.join(checked, ["id", "text_hash", "item_id"], "left").where(F.coalesce("consistent", F.lit(True)))
+    hits = hits.join(enough.select(*_PAIR), _PAIR, "left_semi")
+    pooled = _tokens(hits, window).select(*_PAIR, _run(0).alias("run"), "version", "at", "item_at").distinct()
+    aligned = _aligned(hits, places, window)
+    runs = aligned.where("step = 0").groupBy(*_PAIR, "run").agg(F.count_distinct("w").alias("n"))
+    own = places.groupBy("item_id", "version").agg(F.count_distinct("w").alias("of"))
+    runs = runs.withColumn("version", F.col("run.version")).join(small(own), ["item_id", "version"])
+    runs = runs.where(F.col("n") >= coverage * F.col("of")).select(*_PAIR, "run")
+    runs = settled(runs.unionByName(enough.select(*_PAIR, _run(0).alias("run"))))
+    aligned = aligned.select(*_PAIR, "run", "version", "at", "item_at").distinct().unionByName(pooled)
+    checked = _slot_pairs(rows, items, aligned.join(runs, [*_PAIR, "run"], "left_semi"), enough)
+    held = runs.join(checked, [*_PAIR, "run"], "left").where(F.coalesce("consistent", F.lit(True)))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    best = F.min(F.struct(F.col("run.kind") == 0, count("n_changed"), (-F.coalesce("n_slots", F.lit(0))).alias("slots"))).alias("best")
+    out = enough.join(held.groupBy(*_PAIR).agg(best), _PAIR)
     doc_id = F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id")
-    return out.select(doc_id, "text_hash", "item_id", "n_matched", "n_windows", count("n_slots"), count("n_changed"))
+    return out.select(doc_id, "text_hash", "item_id", "n_matched", "n_windows", (-F.col("best.slots")).alias("n_slots"), "best.n_changed")
 
 
-def _slot_pairs(rows: DataFrame, items: DataFrame, hits: DataFrame, enough: DataFrame, window: int) -> DataFrame:
-    """(id, text_hash, item_id, n_slots, n_changed, consistent) of the pairs in enough whose matched windows have slots."""
-    keys = ["id", "text_hash", "item_id"]
-    item_tokens = items.select("item_id", "text", template(F.col("text")).alias("tokens"))
-    item_slots = item_tokens.select("item_id", F.inline(_slots(F.col("text"), F.col("tokens")))).withColumnsRenamed({"at": "item_at", "value": "item_value"})
+_PAIR = ["id", "text_hash", "item_id"]
+
+
+def _run(kind: int, version: Column | None = None, place: Column | None = None) -> Column:
+    """Tells groups of matched windows of a pair apart: all (0), those of one offset (1), those of near offsets (2)."""
+    number = lambda c: (F.lit(0) if c is None else c).cast("long")
+    return F.struct(F.lit(kind).alias("kind"), number(version).alias("version"), number(place).alias("place"))
+
+
+def _tokens(hits: DataFrame, window: int) -> DataFrame:
+    """The places of all tokens of matched windows; step counts within a window."""
+    steps = hits.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(window - 1))))
+    return steps.withColumns({"at": F.col("at") + F.col("step"), "item_at": F.col("item_at") + F.col("step")})
+
+
+def _aligned(hits: DataFrame, places: DataFrame, window: int) -> DataFrame:
+    """(id, text_hash, item_id, run, version, w, step, at, item_at) of the tokens of each occurrence of an item in a document.
+
+    Every place of a window in the item counts. Windows of one offset between document and item are one run. So are
+    those of offsets that follow each other by less than a window (words put in or left out); there each token goes
+    with the offset that has the most windows, as each token of the item does.
+    """
+    every = hits.select(*_PAIR, "at", "w").join(small(places), ["item_id", "w"]).withColumn("offset", F.col("at") - F.col("item_at"))
+    owner = [*_PAIR, "version"]
+    lines = every.groupBy(*owner, "offset").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(*owner).orderBy("offset")
+    starts = F.when(F.col("offset") - F.lag("offset").over(order) < window, 0).otherwise(1)
+    lines = settled(lines.withColumn("starts", starts).withColumn("near", F.sum("starts").over(order)).drop("starts"))
+    tokens = _tokens(every.join(lines, [*owner, "offset"]), window)
+    columns = [*_PAIR, "run", "version", "w", "step", "at", "item_at"]
+    straight = tokens.withColumn("run", _run(1, F.col("version"), F.col("offset"))).select(*columns)
+    bent = tokens.join(small(lines.groupBy(*owner, "near").agg(F.count("*").alias("of")).where("of > 1").drop("of")), [*owner, "near"], "left_semi")
+    first = (F.desc("n"), F.asc("offset"))
+    for side in ("at", "item_at"):
+        bent = bent.withColumn("rank", F.dense_rank().over(Window.partitionBy(*owner, "near", side).orderBy(*first))).where("rank = 1").drop("rank")
+    return straight.unionByName(bent.withColumn("run", _run(2, F.col("version"), F.col("near"))).select(*columns))
+
+
+def _slot_pairs(rows: DataFrame, items: DataFrame, aligned: DataFrame, enough: DataFrame) -> DataFrame:
+    """(id, text_hash, item_id, run, n_slots, n_changed, consistent) of the runs of aligned tokens that have slots."""
+    keys = [*_PAIR, "run"]
+    item_tokens = items.select("item_id", "version", "text", template(F.col("text")).alias("tokens"))
+    item_slots = item_tokens.select("item_id", "version", F.inline(_slots(F.col("text"), F.col("tokens")))).withColumnsRenamed({"at": "item_at", "value": "item_value"})
     found = small(enough.select("id", "text_hash").distinct())
     texts = rows.join(found, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
     doc_tokens = texts.select("id", "text_hash", "text", template(F.col("text")).alias("tokens"))
     doc_slots = doc_tokens.select("id", "text_hash", F.inline(_slots(F.col("text"), F.col("tokens"))))
-    steps = F.explode(F.sequence(F.lit(0), F.lit(window - 1))).alias("step")
-    covered = hits.join(enough.select(keys), keys, "left_semi").select(*keys, "at", "item_at", steps)
-    covered = covered.select(*keys, (F.col("at") + F.col("step")).alias("at"), (F.col("item_at") + F.col("step")).alias("item_at")).distinct()
-    pairs = covered.join(small(item_slots), ["item_id", "item_at"]).join(doc_slots, ["id", "text_hash", "at"])
+    pairs = aligned.join(small(item_slots), ["item_id", "version", "item_at"]).join(doc_slots, ["id", "text_hash", "at"])
     pairs = pairs.groupBy(*keys, "item_value", "value").agg(F.count("*").alias("n"))
     both = F.struct("item_value", "value")
     return pairs.groupBy(*keys).agg(

@@ -199,6 +199,20 @@ def test_each_place_of_a_template_has_its_own_value(spark):
     assert {(r.doc_id, r.n_changed) for r in decontaminate.leaks(docs, bench).collect()} == {(0, 0), (1, 0)}
 
 
+def test_any_consistent_occurrence_is_a_leak(spark):
+    rng = random.Random(7)
+    run = "Compute the sum " + " + ".join(str(3 + 11 * k) for k in range(11)) + " and write it down"
+    item = "On Monday the farmer, Tom sold 12 kg of apples to his friend, Ann and later, Tom bought 7 more boxes of pears"
+    other = item.replace("12 kg", "15 kg")
+    bad = item.replace("Tom sold", "Bob sold")
+    split = lambda x: x.replace("apples to", "apples straight from his garden to")
+    texts = [f"{prose(rng, 9)} . {run}", f"{item} . {prose(rng, 9)} . {other}", f"{bad} . {bad}", f"{split(other)} . {prose(rng, 40)} . {bad}", f"{item} {other}"]
+    bench = spark.createDataFrame([(1, run), (2, item)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(table(spark, texts), bench).collect()}
+    assert set(found) == {(0, 1), (1, 2), (3, 2), (4, 2)}
+    assert [found[k].n_changed for k in sorted(found)] == [0, 0, 1, 0] and found[0, 1].n_slots == 11
+
+
 # --- chat
 
 
