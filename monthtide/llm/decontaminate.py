@@ -50,13 +50,49 @@ def _slots(text: Column, tokens: Column) -> Column:
     return bound(values, lambda v: F.transform(places, lambda at, i: F.struct(at.alias("at"), F.lower(F.get(v, i)).alias("value"))))
 
 
-def _windows(tokens: Column, length: int) -> Column:
-    starts = F.sequence(F.lit(1), F.size(tokens) - (length - 1))
-    none = F.array().cast("array<bigint>")
-    return F.when(F.size(tokens) < length, none).otherwise(F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, length))))
+def _windows(tokens: Column, *lengths: int | Column) -> Column:
+    """(at, w) of all windows of these lengths: where they start and their hashes."""
+    none = F.array().cast("array<struct<at: int, w: bigint>>")
 
+    def of(length: int | Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(tokens) - (length - 1))
+        hashed = F.transform(starts, lambda i: F.struct((i - 1).alias("at"), F.xxhash64(F.slice(tokens, i, length)).alias("w")))
+        return F.when((F.size(tokens) < length) | (F.size(tokens) == 0), none).otherwise(hashed)
 
-def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5) -> DataFrame:
+    return F.concat(*map(of, lengths))
+
+
+def _changes(window: int) -> Column:
+    """How many of the n tokens of an item a near copy may have changed: a window stays whole wherever these are."""
+    return F.when(F.col("n") < window, 0).otherwise(F.greatest(F.lit(1), F.floor(F.col("n") / window) - 1))
+
+
+def _versions(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item_id, version, text, led): the texts of the items; led ones, of items shorter than a window, begin with a name.
+
+    After a small letter or comma the capital of an item's first word makes it a name. Longer items have other windows.
+    """
+    items = benchmark.select("item_id", "text").distinct().withColumn("led", F.lit(False))
+    begins = F.regexp_extract("text", r"(?s)^[^\p{L}\p{N}]*(\p{Lu}\p{Ll}.*)$", 1)
+    led = items.where(F.size(template(F.col("text"))) < window).select("item_id", F.concat(F.lit(", "), begins).alias("text"), F.lit(True).alias("led"))
+    items = items.unionByName(led.where("text != ', '"))
+    return items.withColumn("version", F.xxhash64("text", "led"))
+
+
+def _places(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, version, n, length, item_at, w): all windows of the items of n tokens.
+
+    Besides those of the full length, items of fewer tokens than two of them have windows of half the length, or of
+    their own length if that is less.
+    """
+    tokens = items.select("item_id", "version", template(F.col("text")).alias("tokens")).withColumn("n", F.size("tokens"))
+    half = F.least(F.col("n"), F.lit(max(1, window // 2)))
+    full = tokens.where(F.col("n") >= window).withColumn("length", F.lit(window))
+    sized = full.unionByName(tokens.where((F.col("n") > 0) & (F.col("n") < 2 * window)).withColumn("length", half))
+    return sized.select("item_id", "version", "n", "length", F.inline(_windows(F.col("tokens"), F.col("length")))).withColumnRenamed("at", "item_at")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, excerpt: int = 32) -> DataFrame:
     """(doc_id, text_hash, item_id, n_matched, n_windows, n_slots, n_changed) of each document and benchmark item that it holds.
 
     Texts become templates: names, numbers and units are typed placeholders. A document holds an item if its template
@@ -66,45 +102,69 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: floa
     must be any one occurrence with that share, or all matched windows together; n_slots and n_changed are those of
     the consistent occurrence with the fewest changes.
 
-    Null and empty texts and items of fewer tokens than a window have no windows and match nothing. Rows without a
-    doc_id are matched, too; rows with one doc_id and different texts are different documents; rows repeated in full
-    count once; items repeated under one item_id are one item with the windows of all. Empty tables give no rows.
+    It also holds an item of which one consistent occurrence has so many tokens as an excerpt in matched windows, or
+    all but one token in eight, less one (one at least; none of an item shorter than a window), if half of these are
+    words or equal values. Items shorter than a window match as a whole; n_windows counts their shorter windows.
+
+    Null and empty texts have no windows and match nothing. Rows without a doc_id are matched, too; rows with one
+    doc_id and different texts are different documents; rows repeated in full count once; items repeated under one
+    item_id are one item with the windows of all. Empty tables give no rows.
     """
-    items = benchmark.select(F.col("item_id").alias("item_id"), F.xxhash64("text").alias("version"), "text").distinct()
-    places = items.select("item_id", "version", F.posexplode(bound(template(F.col("text")), lambda t: _windows(t, window))).alias("item_at", "w"))
-    places = settled(places)
-    item_windows = places.groupBy("item_id", "w").agg(F.min(F.struct("item_at", "version")).alias("first")).select("item_id", "w", "first.*")
-    sizes = places.groupBy("item_id").agg(F.count_distinct("w").alias("n_windows"))
+    items = _versions(benchmark, window)
+    places = settled(_places(items, window))
+    whole = places.where(F.col("length") == window)
+    first = F.min(F.struct("item_at", "version")).alias("first")
+    item_windows = places.groupBy("item_id", "w").agg(first, F.max("length").alias("length"), F.count("*").alias("n_places"))
+    item_windows = item_windows.select("item_id", "w", "length", "n_places", "first.*")
+    counted = (F.col("length") == window) | (F.col("n") < window)
+    sizes = places.where(counted).groupBy("item_id").agg(F.count_distinct("w").alias("n_windows"), F.count_distinct(F.when(F.col("length") == window, F.col("w"))).alias("n_whole"))
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("text_hash"), "text"
     )
-    grams = rows.select("id", "text_hash", F.posexplode(bound(template(F.col("text")), lambda t: _windows(t, window))).alias("at", "w"))
-    hits = settled(grams.join(small(item_windows), "w").select("id", "text_hash", "at", "item_id", "version", "item_at", "w"))
-    enough = hits.groupBy("id", "text_hash", "item_id").agg(F.count_distinct("w").alias("n_matched")).join(small(sizes), "item_id")
-    enough = settled(enough.where(F.col("n_matched") >= coverage * F.col("n_windows")))
-    hits = hits.join(enough.select(*_PAIR), _PAIR, "left_semi")
-    pooled = _tokens(hits, window).select(*_PAIR, _run(0).alias("run"), "version", "at", "item_at").distinct()
-    aligned = _aligned(hits, places, window)
-    runs = aligned.where("step = 0").groupBy(*_PAIR, "run").agg(F.count_distinct("w").alias("n"))
-    own = places.groupBy("item_id", "version").agg(F.count_distinct("w").alias("of"))
+    lengths = sorted(r["length"] for r in places.select("length").distinct().collect()) or [window]
+    grams = rows.select("id", "text_hash", F.inline(bound(template(F.col("text")), lambda t: _windows(t, *lengths))))
+    hits = settled(grams.join(small(item_windows), "w").select("id", "text_hash", "at", "item_id", "version", "item_at", "w", "length", "n_places"))
+    long = hits.where(F.col("length") == window)
+    pairs = long.select(*_PAIR, "w", "n_places").distinct().groupBy(*_PAIR).agg(F.count("*").alias("n_matched"), F.sum("n_places").alias("n_places"))
+    pairs = pairs.join(small(sizes), "item_id").withColumn("enough", F.col("n_matched") >= coverage * F.col("n_whole"))
+    pairs = settled(pairs.where(F.col("enough") | (F.col("n_places") * window >= excerpt)))
+    enough = pairs.where("enough").select(*_PAIR)
+    long = long.join(pairs.select(*_PAIR), _PAIR, "left_semi")
+    pooled = _tokens(long.join(enough, _PAIR, "left_semi"), window).select(*_PAIR, _run(0).alias("run"), "version", "at", "item_at").distinct()
+    aligned = settled(_aligned(long, whole, window))
+    runs = aligned.groupBy(*_PAIR, "run").agg(F.count_distinct(F.when(F.col("step") == 0, F.col("w"))).alias("n"), F.count_distinct("item_at").alias("n_tokens"))
+    own = whole.groupBy("item_id", "version").agg(F.count_distinct("w").alias("of"))
     runs = runs.withColumn("version", F.col("run.version")).join(small(own), ["item_id", "version"])
-    runs = runs.where(F.col("n") >= coverage * F.col("of")).select(*_PAIR, "run")
-    runs = settled(runs.unionByName(enough.select(*_PAIR, _run(0).alias("run"))))
-    aligned = aligned.select(*_PAIR, "run", "version", "at", "item_at").distinct().unionByName(pooled)
-    checked = _slot_pairs(rows, items, aligned.join(runs, [*_PAIR, "run"], "left_semi"), enough)
-    held = runs.join(checked, [*_PAIR, "run"], "left").where(F.coalesce("consistent", F.lit(True)))
+    shared = F.col("n") >= coverage * F.col("of")
+    runs = runs.where(shared | (F.col("n_tokens") >= excerpt)).select(*_PAIR, "run", F.when(shared, 0).otherwise(F.col("n_tokens")).alias("n_tokens"))
+    near = settled(_near(rows, items, hits, places, window))
+    near_runs = near.groupBy(*_PAIR, "run", "n").agg(F.count_distinct("item_at").alias("n_tokens"))
+    near_runs = near_runs.where(F.col("n_tokens") >= F.col("n") - _changes(window)).select(*_PAIR, "run", "n_tokens")
+    runs = settled(runs.unionByName(near_runs).unionByName(enough.select("*", _run(0).alias("run"), F.lit(0).alias("n_tokens"))))
+    columns = [*_PAIR, "run", "version", "at", "item_at"]
+    aligned = aligned.select(*columns).distinct().unionByName(near.select(*columns)).unionByName(pooled)
+    aligned = settled(aligned.join(runs, [*_PAIR, "run"], "left_semi"))
+    checked = _slot_pairs(rows, items, aligned, runs)
+    plain = items.select("item_id", "version", F.posexplode(template(F.col("text"))).alias("item_at", "token")).where(~F.col("token").isin(_NUMBER, _UNIT, _NAME))
+    plain = aligned.join(runs.where("n_tokens > 0"), [*_PAIR, "run"], "left_semi").join(small(plain), ["item_id", "version", "item_at"])
+    plain = plain.groupBy(*_PAIR, "run").agg(F.count("*").alias("n_plain"))
+    held = runs.join(checked, [*_PAIR, "run"], "left").join(plain, [*_PAIR, "run"], "left").where(F.coalesce("consistent", F.lit(True)))
+    held = held.where(2 * (F.coalesce("n_plain", F.lit(0)) + F.coalesce("n_same", F.lit(0))) >= F.col("n_tokens"))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     best = F.min(F.struct(F.col("run.kind") == 0, count("n_changed"), (-F.coalesce("n_slots", F.lit(0))).alias("slots"))).alias("best")
-    out = enough.join(held.groupBy(*_PAIR).agg(best), _PAIR)
+    held = held.groupBy(*_PAIR).agg(best)
+    matched = hits.join(held.select(*_PAIR), _PAIR, "left_semi").join(small(places.where(counted).select("item_id", "w").distinct()), ["item_id", "w"])
+    matched = matched.groupBy(*_PAIR).agg(F.count_distinct("w").alias("n_matched"))
+    out = held.join(matched, _PAIR, "left").join(small(sizes), "item_id")
     doc_id = F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id")
-    return out.select(doc_id, "text_hash", "item_id", "n_matched", "n_windows", (-F.col("best.slots")).alias("n_slots"), "best.n_changed")
+    return out.select(doc_id, "text_hash", "item_id", count("n_matched"), "n_windows", (-F.col("best.slots")).alias("n_slots"), "best.n_changed")
 
 
 _PAIR = ["id", "text_hash", "item_id"]
 
 
 def _run(kind: int, version: Column | None = None, place: Column | None = None) -> Column:
-    """Tells groups of matched windows of a pair apart: all (0), those of one offset (1), those of near offsets (2)."""
+    """Tells groups of a pair apart: all matched windows (0), those of one offset (1) or near offsets (2), and all equal tokens of these (3, 4)."""
     number = lambda c: (F.lit(0) if c is None else c).cast("long")
     return F.struct(F.lit(kind).alias("kind"), number(version).alias("version"), number(place).alias("place"))
 
@@ -122,44 +182,84 @@ def _aligned(hits: DataFrame, places: DataFrame, window: int) -> DataFrame:
     those of offsets that follow each other by less than a window (words put in or left out); there each token goes
     with the offset that has the most windows, as each token of the item does.
     """
-    every = hits.select(*_PAIR, "at", "w").join(small(places), ["item_id", "w"]).withColumn("offset", F.col("at") - F.col("item_at"))
-    owner = [*_PAIR, "version"]
-    lines = every.groupBy(*owner, "offset").agg(F.count("*").alias("n"))
-    order = Window.partitionBy(*owner).orderBy("offset")
-    starts = F.when(F.col("offset") - F.lag("offset").over(order) < window, 0).otherwise(1)
-    lines = settled(lines.withColumn("starts", starts).withColumn("near", F.sum("starts").over(order)).drop("starts"))
-    tokens = _tokens(every.join(lines, [*owner, "offset"]), window)
+    lines, every = _lines(hits, places, window)
+    tokens = _tokens(every.join(lines, [*_OWNER, "offset"]), window)
     columns = [*_PAIR, "run", "version", "w", "step", "at", "item_at"]
     straight = tokens.withColumn("run", _run(1, F.col("version"), F.col("offset"))).select(*columns)
-    bent = tokens.join(small(lines.groupBy(*owner, "near").agg(F.count("*").alias("of")).where("of > 1").drop("of")), [*owner, "near"], "left_semi")
-    first = (F.desc("n"), F.asc("offset"))
-    for side in ("at", "item_at"):
-        bent = bent.withColumn("rank", F.dense_rank().over(Window.partitionBy(*owner, "near", side).orderBy(*first))).where("rank = 1").drop("rank")
+    bends = lines.groupBy(*_OWNER, "near").agg(F.count("*").alias("of")).where("of > 1").drop("of")
+    bent = _bent(tokens.join(small(bends), [*_OWNER, "near"], "left_semi"))
     return straight.unionByName(bent.withColumn("run", _run(2, F.col("version"), F.col("near"))).select(*columns))
 
 
-def _slot_pairs(rows: DataFrame, items: DataFrame, aligned: DataFrame, enough: DataFrame) -> DataFrame:
-    """(id, text_hash, item_id, run, n_slots, n_changed, consistent) of the runs of aligned tokens that have slots."""
+_OWNER = [*_PAIR, "version"]
+
+
+def _lines(hits: DataFrame, places: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """The offsets of each item version in a document with their number of windows, near offsets numbered; and the windows."""
+    every = hits.select(*_PAIR, "at", "w").join(small(places), ["item_id", "w"]).withColumn("offset", F.col("at") - F.col("item_at"))
+    order = Window.partitionBy(*_OWNER).orderBy("offset")
+    starts = F.when(F.col("offset") - F.lag("offset").over(order) < window, 0).otherwise(1)
+    lines = every.groupBy(*_OWNER, "offset").agg(F.count("*").alias("n_hits")).withColumn("starts", starts)
+    return settled(lines.withColumn("near", F.sum("starts").over(order)).drop("starts")), every
+
+
+def _bent(tokens: DataFrame) -> DataFrame:
+    """The tokens of near offsets, each with one offset alone."""
+    for side in ("at", "item_at"):
+        best = Window.partitionBy(*_OWNER, "near", side).orderBy(F.desc("n_hits"), F.asc("offset"))
+        tokens = tokens.withColumn("rank", F.dense_rank().over(best)).where("rank = 1").drop("rank")
+    return tokens
+
+
+def _near(rows: DataFrame, items: DataFrame, hits: DataFrame, places: DataFrame, window: int) -> DataFrame:
+    """(id, text_hash, item_id, run, version, n, at, item_at) of the equal tokens of an item and a document, offset by offset.
+
+    Only offsets are looked at that have the windows which so few changes leave; one changed, missing or additional
+    token costs the windows that it lies in. The next offsets on both sides count with them.
+    """
+    anchors = places.where((F.col("n") >= 2 * window) | (F.col("length") < window))
+    lines, every = _lines(hits, anchors, window)
+    got = every.join(lines.select(*_OWNER, "offset", "near"), [*_OWNER, "offset"]).groupBy(*_OWNER, "near", "n", "length").agg(F.count_distinct("item_at").alias("got"))
+    least = F.greatest(F.lit(1), F.col("n") - F.col("length") + 1 - F.col("length") * _changes(window))
+    lines = lines.join(got.where(F.col("got") >= least).select(*_OWNER, "near", "n"), [*_OWNER, "near"])
+    beside = lines.where(F.col("n") >= window).withColumns({"n_hits": F.lit(0).cast("long"), "offset": F.explode(F.array(F.col("offset") - 1, F.col("offset") + 1))})
+    lines = settled(lines.unionByName(beside).groupBy(*_OWNER, "near", "n", "offset").agg(F.max("n_hits").alias("n_hits")))
+    item_tokens = items.select("item_id", "version", F.posexplode(template(F.col("text"))).alias("item_at", "token"))
+    found = small(lines.select("id", "text_hash").distinct())
+    texts = rows.join(found, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
+    doc_tokens = texts.select("id", "text_hash", F.posexplode(template(F.col("text"))).alias("at", "token"))
+    tokens = lines.join(small(item_tokens), ["item_id", "version"]).withColumn("at", F.col("offset") + F.col("item_at"))
+    tokens = settled(tokens.join(doc_tokens, ["id", "text_hash", "at", "token"]).drop("token"))
+    columns = [*_PAIR, "run", "version", "n", "at", "item_at"]
+    straight = tokens.where("n_hits > 0").withColumn("run", _run(3, F.col("version"), F.col("offset"))).select(*columns)
+    bent = _bent(tokens.where(F.col("n") >= window)).withColumn("run", _run(4, F.col("version"), F.col("near"))).select(*columns)
+    return straight.unionByName(bent)
+
+
+def _slot_pairs(rows: DataFrame, items: DataFrame, aligned: DataFrame, runs: DataFrame) -> DataFrame:
+    """(id, text_hash, item_id, run, n_slots, n_same, n_changed, consistent) of the runs of aligned tokens that have slots."""
     keys = [*_PAIR, "run"]
-    item_tokens = items.select("item_id", "version", "text", template(F.col("text")).alias("tokens"))
-    item_slots = item_tokens.select("item_id", "version", F.inline(_slots(F.col("text"), F.col("tokens")))).withColumnsRenamed({"at": "item_at", "value": "item_value"})
-    found = small(enough.select("id", "text_hash").distinct())
+    item_tokens = items.select("item_id", "version", "led", "text", template(F.col("text")).alias("tokens"))
+    item_slots = item_tokens.select("item_id", "version", "led", F.inline(_slots(F.col("text"), F.col("tokens")))).withColumnsRenamed({"at": "item_at", "value": "item_value"})
+    found = small(runs.select("id", "text_hash").distinct())
     texts = rows.join(found, ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
     doc_tokens = texts.select("id", "text_hash", "text", template(F.col("text")).alias("tokens"))
     doc_slots = doc_tokens.select("id", "text_hash", F.inline(_slots(F.col("text"), F.col("tokens"))))
     pairs = aligned.join(small(item_slots), ["item_id", "version", "item_at"]).join(doc_slots, ["id", "text_hash", "at"])
-    pairs = pairs.groupBy(*keys, "item_value", "value").agg(F.count("*").alias("n"))
+    other = F.max(F.col("led") & (F.col("item_at") == 0) & (F.col("item_value") != F.col("value"))).alias("other")  # no name, in truth
+    pairs = pairs.groupBy(*keys, "item_value", "value").agg(F.count("*").alias("n"), other)
     both = F.struct("item_value", "value")
     return pairs.groupBy(*keys).agg(
         F.sum("n").alias("n_slots"),
+        F.sum(F.when(F.col("item_value") == F.col("value"), F.col("n")).otherwise(0)).alias("n_same"),
         F.count_if(F.col("item_value") != F.col("value")).alias("n_changed"),
-        ((F.count_distinct("item_value") == F.count_distinct(both)) & (F.count_distinct("value") == F.count_distinct(both))).alias("consistent"),
+        ((F.count_distinct("item_value") == F.count_distinct(both)) & (F.count_distinct("value") == F.count_distinct(both)) & ~F.max("other")).alias("consistent"),
     )
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, excerpt: int = 32) -> DataFrame:
     """The rows of docs that hold no benchmark item, with all their columns."""
-    found = leaks(docs, benchmark, window, coverage)
+    found = leaks(docs, benchmark, window, coverage, excerpt)
     gone = found.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_hash": F.xxhash64("text")})
     return rows.join(small(settled(gone)), ["_id", "_hash"], "left_anti").select(*docs.columns)

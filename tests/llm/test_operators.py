@@ -213,6 +213,22 @@ def test_any_consistent_occurrence_is_a_leak(spark):
     assert [found[k].n_changed for k in sorted(found)] == [0, 0, 1, 0] and found[0, 1].n_slots == 11
 
 
+def test_short_items_near_copies_and_excerpts_are_leaks(spark):
+    rng = random.Random(8)
+    plain = [f"i{k}" for k in rng.sample(range(1000), 300)]  # no numbers: letters stand before the digits
+    plain = ["".join(chr(97 + int(c)) for c in w[1:].zfill(3)) for w in plain]
+    short, near, long = "What is 31 plus 47", plain[:15], plain[100:200]
+    texts = [f"so {short} then", "so What is 5 plus 8 then", "so What was 31 plus 47 then", f"well. {short}?", "so Tom is 31 plus 47"]
+    changed = [[*near[:k], "zzz", *near[k + 1 :]] for k in range(15)]
+    put_in = [[*near[:k], "zzz", *near[k:]] for k in (3, 7, 12)]
+    left_out = [[*near[:k], *near[k + 1 :]] for k in (2, 7, 11)]
+    for x in (*changed, *put_in, *left_out, [*near[:5], "y", "z", *near[7:10], "x", *near[11:]], long[30:70], long[30:50]):
+        texts.append(f"{prose(rng, 10)} q {' '.join(x)} q {prose(rng, 10)}")
+    bench = spark.createDataFrame([(1, short), (2, " ".join(near)), (3, " ".join(long)), (4, "3 + 4"), (5, "")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(table(spark, texts), bench).collect()}
+    assert found == {(0, 1), (1, 1), (3, 1), *((k, 2) for k in range(5, 26)), (27, 3)}
+
+
 # --- chat
 
 
