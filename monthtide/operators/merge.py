@@ -80,7 +80,8 @@ def heavy_keys(rows: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE)
 
     One pass over the key columns. Each task keeps a sketch of fixed size and
     only the sketches are merged, so nothing is shuffled by key. Which keys are
-    found affects speed only.
+    found affects speed only, as long as each branch that evaluates this finds
+    the same ones; where they differ, rows are lost or doubled.
     """
     names = ", ".join(f"`{k}`" for k in keys)
     sketch = F.expr(f"approx_top_k(xxhash64({names}), {_HEAVY_LIMIT}, {_SKETCH_COUNTERS})")
