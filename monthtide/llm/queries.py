@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthtide.llm import bpe, chat, ctw, decontaminate, lines, quality, simhash, substring, token_tree, toxicity
+from monthtide.llm import bpe, chat, ctw, decontaminate, lines, quality, simhash, substring, token_files, token_tree, toxicity
 
 #: What conversation -1 says in both of its turns.
 _CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -98,10 +98,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = token_files.write_token_files(rows, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_simhash, op2_quality, op3_token_counts, op4_substring, op5_ctw, op6_decontaminate, op7_chat, op8_line_dedup, op9_bpe, op10_toxicity)
-}
+    for f in (
+        op1_simhash, op2_quality, op3_token_counts, op4_substring, op5_ctw, op6_decontaminate, op7_chat, op8_line_dedup, op9_bpe, op10_toxicity,
+        op11_token_files,
+    )
+}
 
 ORACLES: dict[str, str] = {
     "op4_substring": r"""
