@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthtide.llm import bpe, chat, ctw, decontaminate, lines, quality, simhash, substring, token_files, token_tree, toxicity
+from monthtide.llm import bpe, chat, ctw, decontaminate, lines, merkle, quality, simhash, substring, token_files, token_tree, toxicity
 
 #: What conversation -1 says in both of its turns.
 _CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -104,11 +104,31 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    doc_id = F.col("doc_id").cast("long")
+    leaf = lambda text: merkle.leaf([doc_id, F.col("source"), F.col("lang"), F.col("n_chars"), text])
+    tampered = F.when(F.crc32(doc_id.cast("string")) % 3 == 0, leaf(F.translate("text", _UPPER, _LOWER)))
+    found = merkle.manifest(docs.select(F.col("lang").alias("group"), doc_id.alias("id"), leaf(F.col("text")).alias("leaf"), tampered.alias("changed")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        _sha(F.array_join("proof", "")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_quality, op3_token_counts, op4_substring, op5_ctw, op6_decontaminate, op7_chat, op8_line_dedup, op9_bpe, op10_toxicity,
-        op11_token_files,
+        op11_token_files, op12_merkle,
     )
 }
 
