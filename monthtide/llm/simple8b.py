@@ -21,6 +21,8 @@ _HELD = np.array([1, *(60 // int(w) for w in WIDTHS)], np.int64)  # values in a
 _MOST = int(_HELD.max())
 _LIMITS = np.uint64(1) << WIDTHS
 _ESCAPE = len(WIDTHS)
+_LONG = np.append(_HELD[1:], 1)  # values in a word, by index of WIDTHS
+_SMALL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 _PAYLOAD = np.uint64((1 << 60) - 1)
 
 
@@ -40,56 +42,73 @@ def _choices(need: np.ndarray) -> np.ndarray:
     spans = {1: need}  # the greatest need of so many places from here on
     size = 1
     while 2 * size <= _MOST:
-        half = spans[size]
-        spans[2 * size] = np.maximum(half, np.pad(half[:, size:], ((0, 0), (0, size))))
+        spans[2 * size] = _greater(spans[size], size)
         size *= 2
+    least = int(need.min(initial=_ESCAPE))  # no word is narrower than the least value
     chosen = np.full(need.shape, _ESCAPE, np.uint8)
-    for k in range(_ESCAPE - 1, -1, -1):
+    for k in range(_ESCAPE - 1, least - 1, -1):
         held = int(_HELD[k + 1])
         size = 1 << (held.bit_length() - 1)
-        most, shift = spans[size], held - size
-        if shift:
-            most = np.maximum(most, np.pad(most[:, shift:], ((0, 0), (0, shift))))
-        chosen[most <= k] = k
+        most = _greater(spans[size], held - size) if held > size else spans[size]
+        np.copyto(chosen, k, where=most <= k)
     return chosen
 
 
+def _greater(values: np.ndarray, shift: int) -> np.ndarray:
+    """The greater of each value and the one so many places on (none beyond the end)."""
+    found = values.copy()
+    np.maximum(found[:-shift], values[shift:], out=found[:-shift])
+    return found
+
+
+def _needs(values: np.ndarray) -> np.ndarray:
+    """Index of the narrowest width that holds each value (one more: none does)."""
+    if int(values.max(initial=0)) < len(_SMALL):
+        return _SMALL[values]
+    return np.searchsorted(_LIMITS, values, side="right").astype(np.uint8)
+
+
 def pack(values: np.ndarray, block: int = BLOCK) -> Packed:
     """values (unsigned, below 2**64) in blocks of so many."""
     blocks = -(-len(values) // block)
     stride = block + _MOST  # so that no word reaches into the next block
     grid = np.zeros((blocks, stride), np.uint64)
-    for b in range(blocks):
-        part = values[b * block : (b + 1) * block]
-        grid[b, : len(part)] = part
+    full = len(values) // block
+    grid[:full, :block] = values[: full * block].reshape(full, block)
+    if full < blocks:
+        grid[full, : len(values) - full * block] = values[full * block :]
     sizes = np.minimum(block, len(values) - block * np.arange(blocks))
-    need = np.searchsorted(_LIMITS, grid.ravel(), side="right").astype(np.uint8).reshape(grid.shape)
-    chosen = _choices(need)
+    flat = grid.ravel()
+    chosen = _choices(_needs(flat))
     live, at = np.arange(blocks), np.zeros(blocks, np.int64)
-    starts, selectors = [], []
+    starts, owners, n_words = [], [], np.zeros(blocks, np.int64)
     while len(live):  # one word of every block that isn't done
-        selector = chosen[live, at].astype(np.int64) + 1
-        starts.append(live * stride + at)
-        selectors.append(selector)
-        at = at + np.where(selector > _ESCAPE, 1, _HELD[np.minimum(selector, _ESCAPE)])
+        start = live * stride + at
+        starts.append(start)
+        owners.append(live)
+        n_words[live] += 1
+        at = at + _LONG[chosen[start]]
         going = at < sizes[live]
         live, at = live[going], at[going]
-    start = np.concatenate([*starts, np.zeros(0, np.int64)]).astype(np.int64)
-    order = np.argsort(start, kind="stable")
-    start, selector = start[order], np.concatenate([*selectors, np.zeros(0, np.int64)])[order]
-    owner, flat = start // stride, grid.ravel()
+    # The k-th word of a block was found in round k.
+    place = np.concatenate([*((np.cumsum(n_words) - n_words)[o] + k for k, o in enumerate(owners)), np.zeros(0, np.int64)]).astype(np.int64)
+    start = np.empty(len(place), np.int64)
+    start[place] = np.concatenate([*starts, np.zeros(0, np.int64)])
+    selector = chosen[start] + 1
     words = np.zeros(len(start), np.uint64)
     for k in range(1, _ESCAPE + 1):
         mine = np.flatnonzero(selector == k)
         if len(mine):
-            held = np.arange(_HELD[k])
-            shifted = flat[start[mine, None] + held] << (held.astype(np.uint64) * WIDTHS[k - 1])
-            words[mine] = np.bitwise_or.reduce(shifted, axis=1) | np.uint64(k) << np.uint64(60)
+            first, word = start[mine], np.full(len(mine), np.uint64(k) << np.uint64(60))
+            for held in range(int(_HELD[k])):
+                word |= flat[first + held] << (np.uint64(held) * WIDTHS[k - 1])
+            words[mine] = word
+    owner = np.repeat(np.arange(blocks), n_words)
     escaped = np.flatnonzero(selector > _ESCAPE)
     n_escapes = np.bincount(owner[escaped], minlength=blocks)
     firsts = np.cumsum(n_escapes) - n_escapes
     words[escaped] = (np.arange(len(escaped)) - firsts[owner[escaped]]).astype(np.uint64)
-    return Packed(words, flat[start[escaped]], np.bincount(owner, minlength=blocks), n_escapes, sizes)
+    return Packed(words, flat[start[escaped]], n_words, n_escapes, sizes)
 
 
 def unpack(packed: Packed) -> np.ndarray:

@@ -17,16 +17,17 @@ a lost or repeated attempt of a task left are not in it.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator, Sequence
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow.fs import FileSystem
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,19 +45,52 @@ _HEADER_SIZE, _TRAILER_SIZE = struct.calcsize(_HEADER), struct.calcsize(_TRAILER
 
 #: Blocks that a reader decodes at a time: about a million ids.
 _BLOCKS_AT_ONCE = 256
-#: Pieces whose ids a Python worker remembers; beyond this it starts again.
+#: Pieces whose ids a task remembers; beyond this it starts again.
 _KNOWN = 400_000
-
-_SPACES = "\t-\r \x85\xa0  -     　"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ʯ"
-# Cuts where no piece of a byte-level tokenizer goes on: before a blank with a word after it, around other blanks,
-# and between a Latin letter and ASCII punctuation other than the apostrophe.
-_CUTS = re.compile(f" ?[{_LETTERS}]+(?![^{_SPACES}!-&(-/:-@[-`{{-~])| ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
+#: Pieces that the library gets at a time.
+_TOGETHER = 20_000
+#: Bytes of text that are encoded together.
+_SLICE = 8 << 20
+
+# What a byte is for the cuts below: a blank or line end, such without the blank, the start of a character that is no
+# white space for certain, an ASCII letter, ASCII punctuation without the apostrophe.
+_WHITE, _LINE, _BLACK, _LETTER, _MARK = 1, 2, 4, 8, 16
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[list(b" \t\r\n")] |= _WHITE
+_KINDS[list(b"\t\r\n")] |= _LINE
+_KINDS[0x21:0x7F] |= _BLACK
+_KINDS[0xC3:0xE0] |= _BLACK  # two bytes: U+00C0 to U+07FF
+_KINDS[list(range(0x41, 0x5B)) + list(range(0x61, 0x7B))] |= _LETTER
+_KINDS[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] |= _MARK
 
 _MANIFEST = "shard int, path string, n_docs long, n_ids long, n_blocks long, n_bytes long"
 _READ = "doc_id long, start long, n_tokens long, ids binary"
 
 
+def cuts(data: np.ndarray, starts: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Places in the bytes of several texts where no piece of a byte-level tokenizer goes on, text starts among them.
+
+    Such are the last white space before a visible character, what follows it if it is no blank, and the mark after a
+    Latin letter. Not all such places are found. whole tells the texts that are not to be cut.
+    """
+    kinds = _KINDS[data]
+    following = kinds.copy()
+    following[starts[starts < len(data)]] = 0  # a text's last byte has nothing after it
+    here, after = kinds[:-1], following[1:]
+    cut = np.zeros(len(data), bool)
+    black = (after & _BLACK) > 0
+    cut[:-1] = ((here & _WHITE) > 0) & black
+    cut[1:] |= ((here & _LINE) > 0) & black
+    letter = (here & _LETTER) > 0
+    letter[1:] |= (data[:-2] == 0xC3) & (data[1:-1] != 0x97) & (data[1:-1] != 0xB7)  # U+00C0 to U+00FF but for two signs
+    cut[1:] |= letter & ((after & _MARK) > 0)
+    ends = np.append(starts[1:], len(data))
+    for k in np.flatnonzero(whole):
+        cut[starts[k] : ends[k]] = False
+    cut[starts[starts < ends]] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, without special tokens added; each distinct piece is encoded once.
 
@@ -65,6 +99,7 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -76,35 +111,49 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[bytes, int] = {}
         self.flat, self.bounds = array("I"), array("q", [0])
 
-    def _add(self, texts: Sequence[str]) -> None:
-        for found in self.library.encode_batch_fast(list(texts), add_special_tokens=False):
-            self.flat.extend(found.ids)
-            self.bounds.append(len(self.flat))
-
-    def _cut(self, text: str) -> list[str]:
-        return _CUTS.findall(text) if self.by_piece and not any(s in text for s in self.special) else [text]
-
-    def __call__(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, numbers of ids of each)."""
-        pieces = [self._cut(t) for t in texts]
-        new = {p for some in pieces for p in some if p not in self.number}
+    def _learn(self, pieces: list[bytes]) -> None:
+        for piece in pieces:
+            self.number[piece] = len(self.number)
+        for start in range(0, len(pieces), _TOGETHER):
+            some = [p.decode() for p in pieces[start : start + _TOGETHER]]
+            for found in self.library.encode_batch_fast(some, add_special_tokens=False):
+                self.flat.extend(found.ids)
+                self.bounds.append(len(self.flat))
+
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+        """(number of pieces of each text, all pieces)."""
+        texts = texts.cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        starts = bounds[:-1] - bounds[0]
+        whole = np.full(len(texts), not self.by_piece)
+        for special in self.special:
+            whole |= np.asarray(pc.match_substring(texts.cast(pa.large_string()), special))
+        places = cuts(data, starts, whole) if len(data) else np.zeros(0, np.int64)
+        offsets = pa.py_buffer(np.append(places, len(data)).astype(np.int64).tobytes())
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places), [None, offsets, pa.py_buffer(data)])
+        return np.diff(np.searchsorted(places, np.append(starts, len(data)))), pieces.dictionary_encode()
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, numbers of ids of each); no text is null."""
+        per_text, pieces = self._pieces(texts)
+        distinct = pieces.dictionary.to_pylist()
+        new = [p for p in distinct if p not in self.number]
         if len(self.number) + len(new) > _KNOWN:
             self._forget()
-            new = {p for some in pieces for p in some}
-        for piece in new:
-            self.number[piece] = len(self.number)
-        self._add(list(new))
-        number = self.number.__getitem__
-        which = np.fromiter(chain.from_iterable(map(number, some) for some in pieces), np.int64, sum(map(len, pieces)))
+            new = distinct
+        self._learn(new)
+        which = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
         bounds = np.frombuffer(self.bounds, np.int64).copy()
-        lengths = np.diff(bounds)[which]
+        at = np.asarray(pieces.indices)
+        firsts, lengths = bounds[which][at], np.diff(bounds)[which][at]
         ends = np.cumsum(lengths)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(bounds[which] - (ends - lengths), lengths)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(firsts - (ends - lengths), lengths)
         ids = np.frombuffer(self.flat, np.uint32).copy()[places] if len(places) else np.zeros(0, np.uint32)
-        return ids, np.diff(np.append(0, ends)[np.cumsum([0, *map(len, pieces)])])
+        return ids, np.diff(np.append(0, ends)[np.cumsum([0, *per_text])])
 
 
 class _Writer:
@@ -225,12 +274,12 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None, end
         encoder, writer = Encoder(path), None
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            for some in slices(batch):
+            for some in slices(batch, _SLICE):
                 if not some.num_rows:
                     continue
                 if writer is None:
                     writer = _Writer(f"{uri}/files", f"{shard:06d}-{uuid.uuid4().hex}.s8b")
-                ids, counts = encoder(some.column("text").to_pylist())
+                ids, counts = encoder(some.column("text"))
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(counts), end_id)
                     counts = counts + 1
