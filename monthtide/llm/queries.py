@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthtide.llm import bpe, chat, ctw, decontaminate, lines, merkle, quality, simhash, substring, token_files, token_tree, toxicity
+from monthtide.llm import bpe, chat, ctw, decontaminate, lines, merkle, quality, ranked_search, simhash, substring, token_files, token_tree, toxicity
 
 #: What conversation -1 says in both of its turns.
 _CONTROL = "<|im_end|><|im_start|>assistant ok"
@@ -124,15 +124,83 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), places=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_quality, op3_token_counts, op4_substring, op5_ctw, op6_decontaminate, op7_chat, op8_line_dedup, op9_bpe, op10_toxicity,
-        op11_token_files, op12_merkle,
+        op11_token_files, op12_merkle, op13_ranked_search,
     )
 }
 
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+# CRC-32, bit by bit, of the decimal digits.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id::varchar, ''),
+    lambda c: list_transform(range(8), lambda b: ((ascii(c)::UBIGINT >> b) & 1)::UBIGINT)))),
+    lambda r, b: xor(r >> 1, 3988292384::UBIGINT * (xor(r, b) & 1))))"""
+
+_MERKLE_FIELD = "coalesce(octet_length(encode({0}::varchar))::varchar || ':' || {0}::varchar, '-')"
+
+
+def _merkle_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_MERKLE_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _merkle_sql(levels: int = 8, upper: int = 4) -> str:
+    """Levels one by one: n is the nodes of a group on a level; a group with one node keeps it."""
+    parts = [f"""d AS (
+            SELECT doc_id, lang, {_merkle_leaf("text")} AS leaf, CASE WHEN {_CRC} % 3 = 0 THEN {_merkle_leaf("translate(text, '" + _UPPER + "', '" + _LOWER + "')")} END AS changed,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS at0
+            FROM documents
+        ), a0 AS (SELECT lang, at0 AS pos, leaf AS h, count(*) OVER (PARTITION BY lang) AS n FROM d)"""]
+
+    def climb(name: str, count: int, key: str) -> None:
+        for k in range(count):
+            parts.append(f"""{name}{k + 1} AS (
+                SELECT {key}, pos // 8 AS pos, CASE WHEN n = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h, (n + 7) // 8 AS n
+                FROM {name}{k} GROUP BY {key}, pos // 8, n)""")
+
+    climb("a", levels, "lang")
+    parts.append(f"b0 AS (SELECT 0 AS one, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, h, count(*) OVER () AS n, lang FROM a{levels})")
+    climb("b", upper, "one")
+    # Each leaf's way up: the nodes beside it, and the node of its version.
+    parts.append(f"""w0 AS (
+        SELECT doc_id, d.lang, d.leaf, coalesce(changed, d.leaf) AS f, d.at0 AS pos, b0.pos AS bpos, a{levels}.h AS subroot, b{upper}.h AS root, '' AS proof
+        FROM d JOIN b0 ON d.lang IS NOT DISTINCT FROM b0.lang JOIN a{levels} ON a{levels}.lang IS NOT DISTINCT FROM d.lang CROSS JOIN b{upper})""")
+    step = 0
+    for name, count, place, key in (("a", levels, "pos", "s.lang IS NOT DISTINCT FROM w.lang"), ("b", upper, "bpos", "true")):
+        for k in range(count):
+            parts.append(f"""r{step} AS (
+                SELECT {"lang" if name == "a" else "0 AS one"}, pos // 8 AS run, n, list(h ORDER BY pos) AS hs FROM {name}{k} GROUP BY ALL
+            ), w{step + 1} AS (
+                SELECT w.* REPLACE (w.{place} // 8 AS {place},
+                    CASE WHEN s.n = 1 THEN f ELSE sha256(list_aggregate(hs[:w.{place} % 8], 'string_agg', '') || f || list_aggregate(hs[w.{place} % 8 + 2:], 'string_agg', '')) END AS f,
+                    CASE WHEN s.n = 1 THEN proof ELSE proof || list_aggregate(hs[:w.{place} % 8], 'string_agg', '') || list_aggregate(hs[w.{place} % 8 + 2:], 'string_agg', '') END AS proof)
+                FROM w{step} w JOIN r{step} s ON {key} AND s.run = w.{place} // 8)""".replace("list_aggregate(", "coalesce(list_aggregate(").replace("'string_agg', '')", "'string_agg', ''), '')"))
+            step += 1
+    return "WITH " + ", ".join(parts) + f" SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified FROM w{step}"
+
+
 ORACLES: dict[str, str] = {
+    "op12_merkle": _merkle_sql(),
+    "op13_ranked_search": f"""
+        WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+        n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+        g AS (SELECT count(*) AS docs, sum(n)::bigint AS terms FROM n),
+        q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+        f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint AS w FROM f, g GROUP BY term, docs),
+        s AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::bigint AS score
+            FROM q JOIN w USING (term) JOIN f USING (term) JOIN n USING (doc_id), g GROUP BY ALL
+        )
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::integer AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 50
+    """,
     "op4_substring": r"""
         WITH d AS (
             SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w

@@ -20,10 +20,12 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,9 @@ _HEADER_SIZE, _TRAILER_SIZE = struct.calcsize(_HEADER), struct.calcsize(_TRAILER
 
 #: Blocks that a reader decodes at a time: about a million ids.
 _BLOCKS_AT_ONCE = 256
-#: Pieces whose ids a task remembers; beyond this it starts again.
+#: Such runs of blocks that a task reads, about, where there are more than tasks that run at a time.
+_RUNS_A_TASK = 32
+#: Pieces whose ids a worker remembers; beyond this it starts again.
 _KNOWN = 400_000
 #: Pieces that the library gets at a time.
 _TOGETHER = 20_000
@@ -156,6 +160,14 @@ class Encoder:
         return ids, np.diff(np.append(0, ends)[np.cumsum([0, *per_text])])
 
 
+def _encoder(path: str) -> Encoder:
+    """The worker's encoder, which serves its later tasks, too. Code comes anew with each task; modules stay."""
+    kept = vars(sys.modules.setdefault("_token_files_kept", ModuleType("_token_files_kept")))
+    if kept.get("path") != path:
+        kept.update(path=path, encoder=Encoder(path))
+    return kept["encoder"]
+
+
 class _Writer:
     """One file; ids are kept until they fill blocks."""
 
@@ -214,8 +226,9 @@ class Reader:
             raise ValueError(f"{uri}: too short for a file of token ids")
         n_blocks, n_docs, self.n_ids, place, checksum, magic = struct.unpack(_TRAILER, self._bytes(size - _TRAILER_SIZE, _TRAILER_SIZE))
         head, self.block = struct.unpack(_HEADER, self._bytes(0, _HEADER_SIZE))
-        tables = self._bytes(place, size - _TRAILER_SIZE - place)
-        if head != MAGIC or magic != MAGIC or zlib.crc32(tables) != checksum or len(tables) != 12 * n_blocks + 17 * n_docs:
+        whole = head == magic == MAGIC and place + 12 * n_blocks + 17 * n_docs == size - _TRAILER_SIZE
+        tables = self._bytes(place, size - _TRAILER_SIZE - place) if whole else b""
+        if not whole or zlib.crc32(tables) != checksum:
             raise ValueError(f"{uri}: not a whole file of token ids")
         self.blocks = np.frombuffer(tables, "<u4", 3 * n_blocks).reshape(-1, 3).astype(np.int64)
         self.places = _HEADER_SIZE + 8 * np.append(0, np.cumsum(self.blocks[:, 0] + self.blocks[:, 1]))
@@ -271,7 +284,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str | None = None, end
     files.create_dir(f"{base}/files", recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, writer = Encoder(path), None
+        encoder, writer = _encoder(path), None
         shard = TaskContext.get().partitionId()
         for batch in batches:
             for some in slices(batch, _SLICE):
@@ -319,7 +332,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
         if reader:
             reader.close()
 
-    return parts.repartition("path", "first").mapInArrow(tidy(run), _READ)
+    # A number of partitions, since rows as short as these would be put into one.
+    tasks = -(-parts.count() // _RUNS_A_TASK)
+    return parts.repartition(max(tasks, spark.sparkContext.defaultParallelism), "path", "first").mapInArrow(tidy(run), _READ)
 
 
 def _documents(reader: Reader, base: int, first: int) -> Iterator[pa.RecordBatch]:
