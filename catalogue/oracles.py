@@ -55,6 +55,7 @@ def _half(text: str, start: int) -> str:
     return f"('0x' || substr(md5({text}), {start}, 16))::ubigint"
 
 
+_ORDER_JSON = _identity(["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
 _DOCUMENT_JSON = "json_object('doc_id', doc_id, 'md5', md5(text), 'lang', lang, 'n_chars', n_chars)::varchar"
 
 ORACLES: dict[str, str] = {
@@ -102,8 +103,17 @@ ORACLES: dict[str, str] = {
                case when html is null then 'missing' when octet_length(encode(html)) < 5000 then 'too small' end as reason,
                case when octet_length(encode(html)) >= 5000 then 'ready' else 'skipped' end as status
         from documents d left join pages p on p.page_id = d.doc_id""",
-    "file_checksum": """
+    "text_md5": """
         select doc_id, octet_length(encode(text))::bigint as size, md5(text) as md5 from documents""",
+    "file_checksum": f"""
+        with hashed as (
+            select strftime(o_orderdate, '%Y%m') as load_month, {_half(_ORDER_JSON, 1)} as a, {_half(_ORDER_JSON, 17)} as b from orders),
+        reduced as (select load_month, count(*)::varchar || '-' || sum(a)::varchar || '-' || sum(b)::varchar as t from hashed group by 1)
+        select 'orders' as kind, load_month, md5(t) as checksum, md5(t) as checksum_noted from reduced""",
+    "scan_mixed_parts": """
+        select * exclude (l_tax) replace (l_linenumber::bigint as l_linenumber), case when l_linestatus <> 'F' then l_tax end as l_tax,
+               '199801' as load_month
+        from lineitem""",
     "content_digest": f"""
         with hashed as (select source, {_half(_DOCUMENT_JSON, 1)} as a, {_half(_DOCUMENT_JSON, 17)} as b from documents),
         reduced as (select source, count(*) as n_rows, sum(a) as a, sum(b) as b from hashed group by source)
@@ -128,12 +138,22 @@ ORACLES: dict[str, str] = {
         select * from b where year(l_shipdate) <> 1998 or l_returnflag = 'A'
             or load_month not in (select load_month from b where year(l_shipdate) = 1998 and l_returnflag = 'A')""",
     "write_if_empty": f"""
-        with b as ({_BY_MONTH}), early as (select * from b where l_shipdate < timestamp '2000-01-01')
+        with b as ({_BY_MONTH}), early as (select * from b where l_returnflag = 'A' and year(l_shipdate) < 1996)
         select * from early
-        union all select * from b
-        where l_returnflag = 'A' and load_month not in (select load_month from early)""",
+        union all select * from b where load_month not in (select load_month from early)""",
+    "publish_swap": f"""
+        with b as ({_BY_MONTH}), n as (select load_month, count(*) as n_rows from b group by 1),
+        p as (select sum(n_rows)::bigint as pending from n where load_month >= '199601')
+        select 'written' as moment, load_month, n_rows, pending from n, p where load_month < '199601'
+        union all select 'published', load_month, n_rows, pending from n, p""",
     "append_partition": f"{_BY_MONTH} union all {_BY_MONTH}",
     "add_column": "select *, null::varchar as trip_hash from orders",
+    "merge_check_bloom": f"{_H} select exists (select 1 from h where {_UNSEEN}) as has_new",
+    "new_keys_bloom": f"{_H} select distinct trip_hash from h where {_UNSEEN}",
+    "merge_hot_key": """
+        with b as (
+            select *, case when l_orderkey % 3 = 0 then 'hot-' || l_returnflag else l_orderkey || '-' || l_linenumber end as k from lineitem)
+        select * from b where not exists (select 1 from b t where t.l_linestatus = 'F' and t.k = b.k)""",
     "merge_check": f"{_H} select exists (select 1 from h where {_UNSEEN}) as has_new",
     "merge_insert": _MERGED,
     "merge_rerun_noop": _MERGED,
@@ -177,6 +197,15 @@ ORACLES: dict[str, str] = {
         from orders""",
 }
 
+ORACLES["run_recovered"] = f"""
+    with r as ({ORACLES["monthly_run"]})
+    select r.*, m.write_mode from r cross join (values ('truncate'), ('if_empty'), ('append')) m (write_mode)"""
+ORACLES["load_report_append"] = f"""
+    with {_LANDED}
+    select strftime(closing, '%Y%m') as load_month, 'skipped' as status, 'nothing new' as reason, count(*) as rows_read, 0::bigint as rows_new
+    from landed group by 1"""
+ORACLES["stream_quarantine"] = ORACLES["stream_catch_up"] + " where strftime(o_orderdate, '%Y%m') <> '199603'"
+
 # Ways and modes that must give what the plain run gives.
 for _same, _as in {
     "monthly_run_shuffled": "monthly_run",

@@ -6,8 +6,10 @@ folder, and return what a reader then sees.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
+from unittest import mock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +25,28 @@ from catalogue.standins import (
     table,
     zoneless,
 )
-from monthtide import Config, catch_up, conform, fingerprint, gate, merge_insert, run, use_utc, work_folder
+from monthtide import Config, catch_up, conform, fingerprint, gate, manifest, merge_insert, run, use_utc, work_folder
 from monthtide.functions import identity_json, in_month, month_in_zone, month_key, normalized, snake_case_columns
 from monthtide.operators import (
     add_column,
     append_rows,
+    bloom_filters,
     ensure_database,
     ensure_table,
     load_partitions,
     new_keys,
+    new_keys_by_filter,
+    pending_rows,
+    publish,
+    write_pending,
 )
+from monthtide.plans import monthly_run as monthly_run_module
 from monthtide.plans import plan_assets
 from monthtide.session import stored
-from monthtide.sources import changed_landing, pending_landing, row_digest
+from monthtide.sources import changed_landing, pending_landing, read_files, row_digest
+
+# A month of orders that lands with a column nobody declared.
+_BAD_MONTH = "199603"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,7 +129,7 @@ def ready_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate(plan, listing, min_size=5_000)
 
 
-def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = F.encode("text", "UTF-8")
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.octet_length(content).cast("bigint").alias("size"), F.md5(content).alias("md5")
@@ -205,8 +216,8 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = by_ship_month(table(spark, sf_dir, "lineitem"))
     name = _new_table(staged, "if_empty", ("load_month",))
-    load_partitions(staged.where("l_shipdate < timestamp_ntz'2000-01-01'"), name)
-    load_partitions(staged.where("l_returnflag = 'A'"), name, mode="if_empty")
+    load_partitions(staged.where("l_returnflag = 'A' and year(l_shipdate) < 1996"), name)
+    load_partitions(staged, name, mode="if_empty")
     return spark.table(name)
 
 
@@ -269,6 +280,37 @@ def merge_on_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_insert(batch, loaded(batch), keys=LINEITEM.merge_keys)
 
 
+def _hot_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem under a key that a few values have for a third of all rows."""
+    own = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.concat(F.lit("hot-"), F.col("l_returnflag")))
+    return table(spark, sf_dir, "lineitem").withColumn("k", F.coalesce(hot, own))
+
+
+def merge_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch = _hot_keyed(spark, sf_dir)
+    return merge_insert(batch, loaded(batch), keys=("k",))
+
+
+def merge_check_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check by filters of main's fingerprints per ship month, kept in a table; main is joined with possible hits only."""
+    batch = hashed_lineitem(spark, sf_dir).withColumn("pickup_month", month_key(F.col("l_shipdate")))
+    main = loaded(batch)
+    filters = stored(bloom_filters(main, ["trip_hash"], ["pickup_month"]), "filters")
+    surely, others = new_keys_by_filter(batch, main, filters, ["trip_hash"], ["pickup_month"])
+    any_new = surely.limit(1).unionByName(others.limit(1))
+    return any_new.agg((F.count("*") > 0).alias("has_new"))
+
+
+def new_keys_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All keys that a merge inserts, found by the filters or by the join after them."""
+    batch = hashed_lineitem(spark, sf_dir).withColumn("pickup_month", month_key(F.col("l_shipdate")))
+    main = loaded(batch)
+    filters = stored(bloom_filters(main, ["trip_hash"], ["pickup_month"]), "filters")
+    surely, others = new_keys_by_filter(batch, main, filters, ["trip_hash"], ["pickup_month"])
+    return surely.unionByName(others)
+
+
 def merge_months_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = by_ship_month(table(spark, sf_dir, "lineitem"))
     return merge_insert(batch, loaded(batch), keys=("l_orderkey", "l_linenumber"), order="load_month")
@@ -277,11 +319,12 @@ def merge_months_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- monthly runs -------------------------------------------------------------
 
 
-def _land(rows: DataFrame, kind: str, month: str, folder: str) -> None:
+def _land(rows: DataFrame, kind: str, month: str, folder: str, mode: str = "append") -> None:
     """Write one folder of part files per month, named as a landed asset."""
     name = F.format_string(f"{kind}_tripdata_%s.parquet", F.date_format(month, "yyyy-MM"))
     assets = rows.withColumn("asset", name).drop("_closing")
-    assets.hint("rebalance", "asset").write.mode("append").partitionBy("asset").parquet(folder)
+    writer = assets.hint("rebalance", "asset").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("asset").parquet(folder)
 
 
 def _config(spark: SparkSession, purpose: str, **options) -> Config:
@@ -290,14 +333,14 @@ def _config(spark: SparkSession, purpose: str, **options) -> Config:
     return Config(database=f"runs_{uuid.uuid4().hex}", min_size=1, **folders, **options)
 
 
-def _land_lineitem(spark: SparkSession, sf_dir: str, config: Config) -> None:
+def _land_lineitem(spark: SparkSession, sf_dir: str, config: Config, mode: str = "append") -> None:
     lineitem = table(spark, sf_dir, "lineitem")
     # Files close five days early, so each holds pickups of two months, and
     # returned rows are reported again a month later.
     closing = F.col("l_shipdate") + F.expr("interval 5 days")
     on_time = lineitem.withColumn("_closing", closing)
     again = lineitem.where("l_returnflag = 'R'").withColumn("_closing", F.add_months(closing, 1).cast("timestamp_ntz"))
-    _land(on_time.unionByName(again), "lineitem", "_closing", config.landing)
+    _land(on_time.unionByName(again), "lineitem", "_closing", config.landing, mode)
 
 
 def _land_orders(spark: SparkSession, sf_dir: str, config: Config) -> None:
@@ -353,6 +396,106 @@ def load_report(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     )
 
 
+def load_report_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report of the second of two runs over the same files: what each load read itself, not what the month then holds."""
+    config = _config(spark, "report", write_mode="append")
+    _land_lineitem(spark, sf_dir, config)
+    for _ in range(2):
+        report = run(spark, [LINEITEM], config, *_span(spark, sf_dir), refresh="all")
+    return report.where("reason is null or reason <> 'missing'").select("load_month", "status", "reason", "rows_read", "rows_new")
+
+
+def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of landed files, as the manifest of the folder says, and as the loads noted on their way into staging."""
+    config = _config(spark, "checksum")
+    _land_orders(spark, sf_dir, config)
+    run(spark, [ORDERS], config, *_span(spark, sf_dir)).collect()
+    noted = spark.table(f"{config.database}.{ORDERS.ledger_table}").select("file_name", F.col("checksum").alias("checksum_noted"))
+    return manifest(spark, config.landing).join(noted, "file_name").select("kind", "load_month", "checksum", "checksum_noted")
+
+
+def scan_mixed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One asset whose parts have two physical schemas: other types, and a column that only one has."""
+    config = _config(spark, "mixed")
+    lineitem = table(spark, sf_dir, "lineitem")
+    path = f"{config.landing}/lineitem_tripdata_1998-01.parquet"
+    one = lineitem.where("l_linestatus = 'F'").withColumns({"l_linenumber": F.col("l_linenumber").cast("double"), "l_orderkey": F.col("l_orderkey").cast("int")})
+    one.drop("l_tax").write.parquet(path)
+    lineitem.where("l_linestatus <> 'F'").write.mode("append").parquet(path)
+    return zoneless(read_files(spark, [path], LINEITEM.schema))
+
+
+def publish_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers of a table see while rows are written and checked, and what they see once these are published."""
+    rows = by_ship_month(table(spark, sf_dir, "lineitem"))
+    name = _new_table(rows, "swap", ("load_month",))
+    early = F.col("load_month") < "199601"
+    publish(spark, name, write_pending(rows.where(early), name))
+    folder = write_pending(rows.where(~early), name)
+    written = pending_rows(spark, name, folder).count()
+    seen = stored(spark.table(name).groupBy("load_month").agg(F.count("*").alias("n_rows")), "seen")
+    publish(spark, name, folder)
+    after = spark.table(name).groupBy("load_month").agg(F.count("*").alias("n_rows"))
+    moments = {"written": after.where(early).union(seen.where(~early)), "published": after}
+    found = [df.withColumns({"moment": F.lit(moment), "pending": F.lit(written).cast("long")}) for moment, df in moments.items()]
+    return found[0].unionByName(found[1])
+
+
+class _Died(BaseException):
+    """Stands for a driver that is lost: nothing handles it."""
+
+
+def _dying(step: str, calls: int = 1):
+    """A step of the run that dies at its n-th call."""
+    real, done = getattr(monthly_run_module, step), []
+
+    def flaky(*args):
+        done.append(step)
+        if len(done) == calls:
+            raise _Died(step)
+        return real(*args)
+
+    return flaky
+
+
+def _recovered(spark: SparkSession, sf_dir: str, write_mode: str) -> DataFrame:
+    """Main after runs that died while staging, while merging and before the ledger, with a file replaced meanwhile."""
+    config = _config(spark, "recovered", write_mode=write_mode)
+    span = _span(spark, sf_dir)
+    # What lands first is a month with other rows, which no load may leave behind.
+    wrong = table(spark, sf_dir, "lineitem").withColumn("l_suppkey", F.lit(-1).cast("bigint"))
+    first = wrong.agg(F.date_format(F.min("l_shipdate"), "yyyy-MM").alias("month")).first()["month"]
+    month = F.date_format("l_shipdate", "yyyy-MM") == first
+    _land(wrong.where(month).withColumn("_closing", F.col("l_shipdate")), "lineitem", "_closing", config.landing)
+    for step, calls in (("_append", 1), ("_merge", 1)):
+        with mock.patch.object(monthly_run_module, step, _dying(step, calls)), contextlib.suppress(_Died):
+            run(spark, [LINEITEM], config, *span).collect()
+    _land_lineitem(spark, sf_dir, config, mode="overwrite")
+    for step in ("_merge", "_record"):
+        with mock.patch.object(monthly_run_module, step, _dying(step)), contextlib.suppress(_Died):
+            run(spark, [LINEITEM], config, *span).collect()
+    run(spark, [LINEITEM], config, *span).collect()
+    return zoneless(spark.table(f"{config.database}.{LINEITEM.main_table}")).withColumn("write_mode", F.lit(write_mode))
+
+
+def run_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [_recovered(spark, sf_dir, mode) for mode in ("truncate", "if_empty", "append")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two starts of the stream: a month that doesn't fit holds up neither its batch nor later ones."""
+    config = _config(spark, "quarantine")
+    orders = table(spark, sf_dir, "orders")
+    good = F.date_format("o_orderdate", "yyyyMM") != _BAD_MONTH
+    late = F.year("o_orderdate") >= 1997
+    _land(orders.where(~good).withColumn("surprise", F.lit(1)), "orders", "o_orderdate", config.landing)
+    for some in (orders.where(good & ~late), orders.where(good & late)):
+        _land(some, "orders", "o_orderdate", config.landing)
+        catch_up(spark, [ORDERS], config, f"{config.root}/checkpoint").awaitTermination()
+    return zoneless(spark.table(f"{config.database}.{ORDERS.main_table}"))
+
+
 def stream_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, "stream")
     _land_orders(spark, sf_dir, config)
@@ -377,7 +520,9 @@ QUERIES: dict[str, Query] = {
         "asset_plan": asset_plan,
         "catchup_pending": catchup_pending,
         "ready_gate": ready_gate,
+        "text_md5": text_md5,
         "file_checksum": file_checksum,
+        "scan_mixed_parts": scan_mixed_parts,
         "content_digest": content_digest,
         "landing_skip": landing_skip,
         "landing_changed": landing_changed,
@@ -387,8 +532,12 @@ QUERIES: dict[str, Query] = {
         "write_if_empty": write_if_empty,
         "append_partition": append_partition,
         "add_column": add_hash_column,
+        "publish_swap": publish_swap,
         "merge_check": merge_check,
+        "merge_check_bloom": merge_check_bloom,
+        "new_keys_bloom": new_keys_bloom,
         "merge_insert": merge_insert_all,
+        "merge_hot_key": merge_hot_key,
         "merge_rerun_noop": merge_rerun_noop,
         "merge_keeps_batch_dups": merge_keeps_batch_dups,
         "merge_null_target_hash": merge_null_target_hash,
@@ -398,8 +547,11 @@ QUERIES: dict[str, Query] = {
         "monthly_run_shuffled": monthly_run_shuffled,
         "run_if_empty": run_if_empty,
         "run_append": run_append,
+        "run_recovered": run_recovered,
         "load_report": load_report,
+        "load_report_append": load_report_append,
         "load_report_shuffled": load_report_shuffled,
         "stream_catch_up": stream_catch_up,
+        "stream_quarantine": stream_quarantine,
     }.items()
 }

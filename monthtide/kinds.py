@@ -24,6 +24,9 @@ FIELD_TYPES = {
 MAIN_SUFFIX = "_taxi"
 STAGING_SUFFIX = "_taxi_staging"
 LEDGER_SUFFIX = "_taxi_loads"
+STAGED_SUFFIX = "_taxi_staged"
+ATTEMPTS_SUFFIX = "_taxi_attempts"
+SCHEMAS_SUFFIX = "_taxi_schemas"
 
 
 @dataclass(frozen=True)
@@ -65,6 +68,21 @@ class Kind:
     def ledger_table(self) -> str:
         return self.name + LEDGER_SUFFIX
 
+    @property
+    def staged_table(self) -> str:
+        """What each staged load came from."""
+        return self.name + STAGED_SUFFIX
+
+    @property
+    def attempts_table(self) -> str:
+        """Loads that failed."""
+        return self.name + ATTEMPTS_SUFFIX
+
+    @property
+    def schemas_table(self) -> str:
+        """Versions of the schema."""
+        return self.name + SCHEMAS_SUFFIX
+
     @property
     def required(self) -> list[str]:
         return [f.name for f in self.schema if not f.nullable]

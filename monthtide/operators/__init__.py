@@ -1,5 +1,6 @@
 """The merge and the table operators."""
 
+from monthtide.operators.bloom import bloom_filters, has_new_by_filter, new_keys_by_filter, possible_keys
 from monthtide.operators.merge import (
     first_seen,
     has_new,
@@ -12,6 +13,7 @@ from monthtide.operators.merge import (
     unseen_by_probe,
     unseen_keys,
 )
+from monthtide.operators.publish import discard_pending, drop_partitions, pending_rows, publish, write_pending
 from monthtide.operators.tables import (
     add_column,
     append_rows,
@@ -29,7 +31,10 @@ from monthtide.operators.tables import (
 __all__ = [
     "add_column",
     "append_rows",
+    "bloom_filters",
     "clear_partition",
+    "discard_pending",
+    "drop_partitions",
     "ensure_database",
     "ensure_main",
     "ensure_staging",
@@ -37,15 +42,21 @@ __all__ = [
     "filled_partitions",
     "first_seen",
     "has_new",
+    "has_new_by_filter",
     "heavy_keys",
     "load_partitions",
     "merge_insert",
     "new_keys",
+    "new_keys_by_filter",
     "partitions",
+    "pending_rows",
+    "possible_keys",
+    "publish",
     "replace_partition",
     "rows_of_keys",
     "unseen",
     "unseen_among_few",
     "unseen_by_probe",
     "unseen_keys",
+    "write_pending",
 ]

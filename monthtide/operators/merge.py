@@ -24,6 +24,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from monthtide.session import stored
+
 # A key with at least this share of the batch is heavy; there are at most
 # 1 / share of them, which bounds everything broadcast for them.
 HEAVY_SHARE = 0.001
@@ -31,6 +33,8 @@ _HEAVY_LIMIT = int(1 / HEAVY_SHARE)
 # Counters of the frequent-items sketch; its error, about 3.5 / 2^14 of the
 # rows, stays well below HEAVY_SHARE.
 _SKETCH_COUNTERS = 10_000
+# Groups in which the sketches of the tasks are combined first.
+_SKETCH_GROUPS = 64
 
 _SEEN = "_seen_"
 _FIRST = "_seen_first"
@@ -78,16 +82,19 @@ def _anti(rows: DataFrame, seen: DataFrame, keys: Sequence[str], order: str | No
 def heavy_keys(rows: DataFrame, keys: Sequence[str], share: float = HEAVY_SHARE) -> DataFrame:
     """Hashes of the keys that hold at least ``share`` of ``rows``.
 
-    One pass over the key columns. Each task keeps a sketch of fixed size and
-    only the sketches are merged, so nothing is shuffled by key. Which keys are
-    found affects speed only, as long as each branch that evaluates this finds
-    the same ones; where they differ, rows are lost or doubled.
+    One pass over the key columns. Each task keeps a sketch of fixed size; the
+    sketches are combined in groups, and then those of the groups, so that no task
+    meets the sketches of all others. Nothing is shuffled by key. The sketch is
+    approximate: two evaluations may differ in keys near the limit.
     """
-    names = ", ".join(f"`{k}`" for k in keys)
-    sketch = F.expr(f"approx_top_k(xxhash64({names}), {_HEAVY_LIMIT}, {_SKETCH_COUNTERS})")
+    hashed = rows.select(F.xxhash64(*[F.col(k) for k in keys]).alias("_key"), F.spark_partition_id().alias("_task"))
+    sketched = hashed.groupBy(F.pmod("_task", F.lit(_SKETCH_GROUPS))).agg(
+        F.expr(f"approx_top_k_accumulate(_key, {_SKETCH_COUNTERS})").alias("_sketch"), F.count("*").alias("_n")
+    )
+    # Grouped, since there is no sketch of no rows.
+    combined = sketched.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_sketch, {_SKETCH_COUNTERS})").alias("_sketch"), F.sum("_n").alias("_n"))
     return (
-        rows.agg(sketch.alias("_top"), F.count("*").alias("_n"))
-        .select(F.explode("_top").alias("_top"), "_n")
+        combined.select(F.explode(F.expr(f"approx_top_k_estimate(_sketch, {_HEAVY_LIMIT})")).alias("_top"), "_n")
         .where(F.col("_top.count") >= F.col("_n") * share)
         .select(F.col("_top.item").alias("_heavy"))
     )
@@ -103,10 +110,16 @@ def _spread(
     """``join(rows, others)`` with the heavy keys of ``rows`` taken out.
 
     ``others`` must hold each key a bounded number of times. Its entries for
-    heavy keys are broadcast, so that heavy rows stay where they are.
+    heavy keys are broadcast, so that heavy rows stay where they are. The list of
+    heavy keys is written once, and all branches read that: were it found again in
+    each, they could differ, and rows be lost or doubled. Without heavy keys there
+    is one branch.
     """
     probed = list(alike or keys)
-    heavy = F.broadcast(heavy_keys(rows, probed))
+    found = stored(heavy_keys(rows, probed), "heavy_keys")
+    if found.isEmpty():
+        return join(rows, others)
+    heavy = F.broadcast(found)  # at most 1 / HEAVY_SHARE rows
     is_heavy = F.xxhash64(*[F.col(c) for c in probed]) == F.col("_heavy")
     weighty = rows.join(heavy, is_heavy, "left_semi")
     # One key per heavy hash, hence as bounded as the list of these.
@@ -222,8 +235,9 @@ def merge_insert(
 
     ``insert_columns`` lists what is filled in (default: all the batch has); the
     rest is NULL. With ``order`` the batch holds several loads, see the module;
-    for ``alike`` see :func:`unseen`. ``batch`` is read more than once: it must
-    not depend on chance, and is better stored first if it is costly to compute.
+    for ``alike`` see :func:`unseen`. ``batch`` is read more than once, the first
+    time at once, for its heavy keys: it must not depend on chance, and is better
+    stored first if it is costly to compute.
     """
     _check_key_types(batch, main, keys)
     seen = first_seen(main, keys, batch if order is not None else None, order)

@@ -64,9 +64,11 @@ def ensure_table(
 
 
 def ensure_staging(spark: SparkSession, kind: Kind, database: str, root: str) -> str:
-    """Staging table of ``kind``: one partition per month of the *file*."""
+    """Staging table of ``kind``: by month of the *file* and by load of it."""
     table = f"{database}.{kind.staging_table}"
-    ensure_table(spark, table, kind.schema, f"{root}/{kind.staging_table}", [LOAD_MONTH], kind.cluster)
+    ensure_table(spark, table, kind.schema, f"{root}/{kind.staging_table}", [LOAD_MONTH, LOAD_ID], kind.cluster)
+    if LOAD_ID not in partition_columns(spark, table):
+        raise ValueError(f"{table} was made before staged rows named their load; drop it and its files, it is filled anew")
     return table
 
 
@@ -124,14 +126,14 @@ def append_rows(df: DataFrame, table: str, order_by: Sequence[str] = ()) -> None
     """Append ``df``, sorted inside each partition by ``order_by``."""
     spark = df.sparkSession
     target = spark.table(table).columns
-    partition_columns = _partition_columns(spark, table)
-    if partition_columns or order_by:
+    slices = partition_columns(spark, table)
+    if slices or order_by:
         # Partition columns first: the sort the partitioned writer needs anyway.
-        df = df.sortWithinPartitions(*partition_columns, *order_by)
+        df = df.sortWithinPartitions(*slices, *order_by)
     df.select(*target).write.mode("append").insertInto(table)
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 

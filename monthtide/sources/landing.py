@@ -6,14 +6,15 @@ for checksums, and only of the files asked for.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from monthtide.functions.fingerprint import identity_json
-from monthtide.sources.files import alike_files, asset_part, list_files, load_month_of
+from monthtide.sources.files import alike_files, asset_part, list_files, load_month_of, scans
 
 # Fixed value: smaller files count as not (yet) complete.
 MIN_SIZE = 1_000_000
@@ -119,7 +120,7 @@ def checksums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """
     rows = [
         scan.select(F.col("_metadata.file_path").alias("path"), identity_json(scan.columns).alias("body"))
-        for scan in (spark.read.parquet(*members) for members in alike_files(spark, paths))
+        for scan in scans(spark, alike_files(spark, paths))
     ]
     reduced = reduce(DataFrame.unionByName, rows).groupBy("path").agg(*_hash_aggregates(F.col("body")))
     scanned = asset_part(_as_listed(F.col("path")), 1)
@@ -128,6 +129,23 @@ def checksums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return assets.join(sums, F.col("path") == F.col("_asset"), "left").select("path", _combined().alias("checksum"))
 
 
+def observed(scan: DataFrame, digest: bool = True) -> tuple[DataFrame, Observation]:
+    """``scan``, whose rows are counted and digested by whichever job reads them, and where the result will be."""
+    observation = Observation()
+    aggregates = _hash_aggregates(identity_json(scan.columns)) if digest else [F.count("*").alias("n_rows")]
+    return scan.observe(observation, *aggregates), observation
+
+
+def told(observations: Sequence[Observation], digest: bool = True) -> tuple[int, str | None]:
+    """Number of rows and checksum of an asset, from what was observed of all its scans."""
+    found = [o.get for o in observations]
+    rows = sum(f["n_rows"] for f in found)
+    if not digest:
+        return rows, None
+    sums = [sum(int(f[half] or 0) for f in found) for half in ("_first", "_second")]
+    return rows, hashlib.md5("-".join(map(str, (rows, *sums))).encode()).hexdigest()
+
+
 def _as_listed(path: Column) -> Column:
     """A path of a scan as listings write it: not escaped, and local ones with one slash."""
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from monthtide.kinds import Kind
-from monthtide.plans.monthly_run import Config, run
+from monthtide.plans.monthly_run import Config, run, worth_another_try
 from monthtide.session import use_utc
 from monthtide.sources.files import asset_part
 
@@ -53,9 +53,12 @@ def catch_up(
 ) -> StreamingQuery:
     """Start a query that loads all files that arrived, then stops.
 
-    Each micro-batch appends its report below ``report_path``. If a load fails, the
-    query fails once all kinds have had their turn, and the next start does that
-    micro-batch again; what was loaded meanwhile is not loaded twice. An asset of
+    Each micro-batch appends its report below ``report_path``. If a load fails in a
+    way that may pass, the query fails once all kinds have had their turn, and the
+    next start does that micro-batch again; what was loaded meanwhile is not loaded
+    twice. A file that doesn't fit, lies in two places, or has failed
+    ``config.max_attempts`` times holds up nothing: the report names it, and it is
+    tried again when it has changed. An asset of
     several parts may arrive over several micro-batches; ``refresh='changed'``
     picks up the later ones. A file counts as arrived once, complete or not:
     with ``first`` every micro-batch looks at all months from there on again, and
@@ -77,9 +80,11 @@ def catch_up(
             report = run(batch.sparkSession, [by_name[row.kind]], config, since, row["last"], refresh)
             if report_path:
                 report.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(report_path)
-            failed += report.where("status = 'failed'").select("kind", "load_month", "reason").collect()
+            reasons = {r.load_month: r.reason for r in report.where("status = 'failed'").collect()}
+            again = worth_another_try(batch.sparkSession, by_name[row.kind], list(reasons), config) if reasons else []
+            failed += [f"{row.kind} {month}: {reasons[month]}" for month in again]
         if failed:
-            raise RuntimeError("; ".join(f"{r.kind} {r.load_month}: {r.reason}" for r in failed))
+            raise RuntimeError("; ".join(failed))
 
     return (
         arrivals(spark, config.landing, files_per_batch)

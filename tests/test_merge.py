@@ -166,3 +166,19 @@ def test_splitting_batches_without_shared_identities_changes_nothing(spark):
         first = main.unionByName(merge_insert(hashed(spark, rows[:cut]), main))
         both = first.unionByName(merge_insert(hashed(spark, rows[cut:]), first))
         assert multiset(both.select("trip_hash")) == multiset(whole.select("trip_hash"))
+
+
+def test_sketches_are_combined_in_groups(spark):
+    rows = spark.range(0, 50_000, 1, 200).select(F.when(F.col("id") % 4 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    found = heavy_keys(rows, ["k"])
+    assert found.collect() == spark.range(1).select(F.xxhash64(F.lit("hot")).alias("_heavy")).collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "approx_top_k_combine" in plan and "hashpartitioning(" in plan
+    assert heavy_keys(rows.limit(0), ["k"]).collect() == []
+
+
+def test_the_list_of_heavy_keys_is_read_and_not_found_again(spark):
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))
+    batch = spark.range(9_000).select(key.alias("k"))
+    plan = merge_insert(batch, batch.where("k <> 'hot'"), keys=["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "approx_top_k" not in plan and "heavy_keys" in plan or "_heavy" in plan

@@ -177,7 +177,8 @@ def test_append_mode_keeps_what_is_staged(spark):
     where = config(spark, write_mode="append")
     land(frame(spark, [trip()]), YELLOW, "2025-07", where)
     go(spark, where)
-    assert go(spark, where, refresh="all")["yellow", "202507"] == ("skipped", "nothing new", 2, 0)
+    assert go(spark, where, refresh="all")["yellow", "202507"] == ("skipped", "nothing new", 1, 0)
+    assert spark.table(f"{where.database}.{YELLOW.staging_table}").count() == 2
 
 
 def test_rows_older_than_the_hash_column_are_inserted_again(spark):

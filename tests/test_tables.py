@@ -49,7 +49,7 @@ def test_tables_are_created_once_and_found_again(spark, database):
     root = work_folder(spark, "tables")
     staging, main = ensure_staging(spark, YELLOW, database, root), ensure_main(spark, YELLOW, database, root)
     assert staging == f"{database}.yellow_taxi_staging" and main == f"{database}.yellow_taxi"
-    assert spark.table(staging).columns == [*YELLOW.schema.names, "load_month"]
+    assert spark.table(staging).columns == [*YELLOW.schema.names, "load_month", "load_id"]
     assert spark.table(main).columns == [*YELLOW.schema.names, "trip_hash", "load_id", "pickup_month"]
     assert not ensure_table(spark, main, YELLOW.schema, f"{root}/yellow_taxi", ["load_id", "pickup_month"])
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {main}").collect()}
