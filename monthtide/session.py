@@ -14,8 +14,13 @@ from pyspark.sql import types as T
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Fix the session zone: month keys and casts from zone-less time follow it."""
+    """Fix the session zone: month keys and casts from zone-less time follow it.
+
+    Timestamps are written in the form for which Parquet keeps ranges, without
+    which no row group could be skipped by pickup.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 

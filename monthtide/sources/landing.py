@@ -19,6 +19,10 @@ from monthtide.sources.files import alike_files, asset_part, list_files, load_mo
 # Fixed value: smaller files count as not (yet) complete.
 MIN_SIZE = 1_000_000
 
+LOAD_MONTH = "load_month"
+_DIGEST = "_row_md5"
+_HALVES = {"a": "_row_md5_first", "b": "_row_md5_second"}
+
 
 def list_landing(spark: SparkSession, folder: str) -> DataFrame:
     """One row per landed asset below ``folder``, without opening any file.
@@ -129,20 +133,30 @@ def checksums(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return assets.join(sums, F.col("path") == F.col("_asset"), "left").select("path", _combined().alias("checksum"))
 
 
-def observed(scan: DataFrame, digest: bool = True) -> tuple[DataFrame, Observation]:
-    """``scan``, whose rows are counted and digested by whichever job reads them, and where the result will be."""
+def observed(scan: DataFrame, months: Sequence[str], digest: bool = True) -> tuple[DataFrame, Observation]:
+    """``scan`` of some months' files with ``load_month``, and where the counts and digests of each month will be.
+
+    Whichever job reads the rows makes them on the way. Each row is compared with
+    each month, so there should be few.
+    """
+    names = scan.columns
+    rows = scan.withColumn(LOAD_MONTH, load_month_of(F.col("_metadata.file_path")))
+    aggregates = [F.count_if(F.col(LOAD_MONTH) == m).alias(f"n_{m}") for m in months]
+    if digest:
+        rows = rows.withColumn(_DIGEST, F.md5(identity_json(names)))
+        rows = rows.withColumns({_HALVES[half]: F.conv(F.substring(_DIGEST, start, 16), 16, 10).cast("decimal(20,0)") for half, start in (("a", 1), ("b", 17))})
+        aggregates += [F.sum(F.when(F.col(LOAD_MONTH) == m, F.col(column))).alias(f"{half}_{m}") for half, column in _HALVES.items() for m in months]
     observation = Observation()
-    aggregates = _hash_aggregates(identity_json(scan.columns)) if digest else [F.count("*").alias("n_rows")]
-    return scan.observe(observation, *aggregates), observation
+    return rows.observe(observation, *aggregates).drop(_DIGEST, *_HALVES.values()), observation
 
 
-def told(observations: Sequence[Observation], digest: bool = True) -> tuple[int, str | None]:
-    """Number of rows and checksum of an asset, from what was observed of all its scans."""
+def told(observations: Sequence[Observation], month: str, digest: bool = True) -> tuple[int, str | None]:
+    """Number of rows and checksum of a month's file, from what was observed of all its scans."""
     found = [o.get for o in observations]
-    rows = sum(f["n_rows"] for f in found)
+    rows = sum(f[f"n_{month}"] for f in found)
     if not digest:
         return rows, None
-    sums = [sum(int(f[half] or 0) for f in found) for half in ("_first", "_second")]
+    sums = [sum(int(f[f"{half}_{month}"] or 0) for f in found) for half in ("a", "b")]
     return rows, hashlib.md5("-".join(map(str, (rows, *sums))).encode()).hexdigest()
 
 
