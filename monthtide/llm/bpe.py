@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from monthtide.llm.common import slices, tidy
+from monthtide.llm.common import most_frequent, settled, slices, tidy
 
 #: Words in the lexicon. It decides how many words are merged anew, never what they become.
 LEXICON_WORDS = 1 << 15
@@ -270,7 +270,7 @@ class Lexicon:
 
 
 def frequent_pieces(docs: DataFrame, vocabulary: Vocabulary, count: int) -> list[str]:
-    """The most frequent pieces of all texts, ties in the order of the pieces."""
+    """The most frequent pieces of all texts, those found twice at least, in order; of equally frequent ones all or none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, seen = Splitter(vocabulary), Counter()
@@ -288,8 +288,8 @@ def frequent_pieces(docs: DataFrame, vocabulary: Vocabulary, count: int) -> list
             yield out()
 
     seen = docs.select("text").mapInArrow(tidy(run), "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    seen = seen.orderBy(F.desc("n"), "piece").limit(count)
-    return [r["piece"] for r in seen.collect()]
+    found = most_frequent(settled(seen.where("n > 1")), count)
+    return [r["piece"] for r in sorted(found, key=lambda r: (-r["n"], r["piece"]))]
 
 
 def lexicon_file(docs: DataFrame, vocabulary: Vocabulary, count: int = LEXICON_WORDS) -> str:

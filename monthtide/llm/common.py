@@ -9,7 +9,7 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: The six characters that separate words: blank, and tab to carriage return.
@@ -39,13 +39,18 @@ def byte_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
+#: What keyed() tells documents apart by, in their order.
+KEY = ["id", "tag", "tag2"]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, id, tag): id is doc_id with null last, tag tells rows of one id but different texts apart."""
+    """(doc_id, text, id, tag, tag2): id is doc_id with null last, the tags, 128 bits, tell rows of one id but different texts apart."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.pmod(F.xxhash64(F.col("text")), F.lit(2**31)).cast("int").alias("tag"),
+        F.xxhash64(F.col("text")).alias("tag"),
+        F.xxhash64(F.lit("tag2"), F.col("text")).alias("tag2"),
     )
 
 
@@ -73,6 +78,36 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, in any case of letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def most_frequent(counted: DataFrame, most: int, n: str = "n") -> list[Row]:
+    """The rows of counted with the largest n, as many as have places among so many; equal ones all or none.
+
+    The driver gets counts of counts, by powers of two and eighths of these, then those within one such step, and the
+    rows themselves, never more than most. counted is read three times, so it should be settled.
+    """
+    step = F.floor(F.log2(F.col(n)) * 8)
+    room, least = most, None
+    for row in sorted(counted.groupBy(step.alias("step")).agg(F.count("*").alias("rows"), F.min(n).alias("least")).collect(), key=lambda r: -r["step"]):
+        if row["rows"] > room:
+            for some in sorted(counted.where(step == row["step"]).groupBy(F.col(n).alias("n")).agg(F.count("*").alias("rows")).collect(), key=lambda r: -r["n"]):
+                if some["rows"] > room:
+                    break
+                room, least = room - some["rows"], some["n"]
+            break
+        room, least = room - row["rows"], row["least"]
+    return counted.where(F.col(n) >= least).collect() if least is not None else []
+
+
 def per_batch(work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The function for mapInArrow that applies work to slices of limited bytes, so that long texts don't add up."""
 

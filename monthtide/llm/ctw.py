@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import settled, slices, tidy
+from monthtide.llm.common import most_frequent, settled, slices, tidy
 
 #: Bytes of context.
 DEPTH = 5
@@ -325,7 +325,7 @@ def code_lengths(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     size, distinct = total + ends, kinds + (ends > 0)
     tables = docs.sparkSession.sparkContext.broadcast(trained(training, depth))
-    common = {bytes(r["word"]): r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(COMMON_WORDS).collect()}
+    common = {bytes(r["word"]): r["c"] for r in most_frequent(counts, COMMON_WORDS, "c")}
     common = docs.sparkSession.sparkContext.broadcast(common)
     scale = log10(size + 0.5 * (distinct + 1))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import keyed, per_batch, settled
+from monthtide.llm.common import KEY, keyed, per_batch, settled
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD1342543DE82EF95)
@@ -158,28 +158,28 @@ def _replayed(batch: pa.RecordBatch, row: int, window: int, levels: list[int]) -
 
 def _with_lists(rows: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:
     for name, found in lists.items():
-        rows = rows.join(found.withColumnRenamed("at", name), ["id", "tag"], "left")
+        rows = rows.join(found.withColumnRenamed("at", name), KEY, "left")
     return rows
 
 
 def _singles(rows: DataFrame, lists: dict[str, DataFrame], window: int, done: list[int], length: int) -> DataFrame:
-    """(id, tag, at): positions of each document's anchors of this length that occur once in all documents."""
+    """(id, tag, tag2, at): positions of each document's anchors of this length that occur once in all documents."""
 
     def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts = []
-        for i, (doc_id, tag) in enumerate(zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist())):
+        for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in KEY))):
             doc = _replayed(batch, i, window, done)
             if doc.alive.any():
                 at, hashes = doc.anchors(length)
-                parts.append((hashes.view(np.int64), np.full(len(at), doc_id), np.full(len(at), tag), at))
+                parts.append((hashes.view(np.int64), *(np.full(len(at), k) for k in key), at))
         if parts:
             (h, *place), n = _first_of_each(parts, 1)
-            columns = [pa.array(h), pa.array(np.minimum(n, 2), pa.int32()), *(pa.array(x, t) for x, t in zip(place, (pa.int64(), pa.int32(), pa.int32())))]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "n", "id", "tag", "at"])
+            columns = [pa.array(h), pa.array(np.minimum(n, 2), pa.int32()), *(pa.array(x, t) for x, t in zip(place, (*[pa.int64()] * 3, pa.int32())))]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "n", *KEY, "at"])
 
-    anchors = _with_lists(rows, lists).mapInArrow(per_batch(emit), "h long, n int, id long, tag int, at int")
-    alone = anchors.groupBy("h").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in ("id", "tag", "at"))).where("n = 1")
-    return alone.groupBy("id", "tag").agg(F.collect_list("at").alias("at"))
+    anchors = _with_lists(rows, lists).mapInArrow(per_batch(emit), "h long, n int, id long, tag long, tag2 long, at int")
+    alone = anchors.groupBy("h").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in (*KEY, "at"))).where("n = 1")
+    return alone.groupBy(*KEY).agg(F.collect_list("at").alias("at"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFrame:
@@ -204,21 +204,21 @@ def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFra
 
     def emit(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         parts = []
-        for i, (doc_id, tag) in enumerate(zip(batch.column("id").to_pylist(), batch.column("tag").to_pylist())):
+        for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in KEY))):
             doc = _replayed(batch, i, window, levels)
             if doc.alive.any():
                 at, anchor, hashes = doc.whole()
-                parts.append((anchor.view(np.int64), hashes.view(np.int64), np.full(len(at), doc_id), np.full(len(at), tag), at))
+                parts.append((anchor.view(np.int64), hashes.view(np.int64), *(np.full(len(at), k) for k in key), at))
         if parts:
             found, _ = _first_of_each(parts, 2)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], ["anchor", "hash", "id", "tag", "at"])
+            types = (*[pa.int64()] * 5, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], ["anchor", "hash", *KEY, "at"])
 
-    kind = "anchor long, hash long, id long, tag int, at int"
+    kind = "anchor long, hash long, id long, tag long, tag2 long, at int"
     whole = _with_lists(rows, lists).mapInArrow(per_batch(emit), kind)
     # each batch has one row per window, so nothing is left to sum before the shuffle; windows of one anchor stay together
-    first = whole.repartition("anchor").groupBy("anchor", "hash").agg(F.min(F.struct("id", "tag", "at")).alias("at")).select("at.*")
-    first = first.groupBy("id", "tag").agg(F.collect_list("at").alias("at"))
+    first = whole.repartition("anchor").groupBy("anchor", "hash").agg(F.min(F.struct(*KEY, "at")).alias("at")).select("at.*")
+    first = first.groupBy(*KEY).agg(F.collect_list("at").alias("at"))
 
     def rest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kept, counts, removed = [], [], []
