@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import LAST_ID, SPACES, settled, small
+from monthtide.llm.common import LAST_ID, SPACES, settled, small, unused
 
 #: lgK of the sketches; their relative standard error is about 1.04 / sqrt(2^lgK).
 SKETCH = 12
@@ -61,24 +61,25 @@ def remove_spread_lines(docs: DataFrame, min_sites: int = 10, min_chars: int = 2
     which nothing stays is empty, a null text stays null. A null source counts as one more source. A row repeated in
     full counts as often as it occurs and keeps the same lines each time; an empty table gives no rows.
     """
-    marked = _drops(docs, min_sites, min_chars)
-    rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_hash": F.xxhash64("text")})
-    rows = rows.join(marked, ["_id", "_hash"], "left")
-    rows = rows.withColumn("_text", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_drop"))))
-    new = {"text": F.col("_text")}
+    id_, hash_, drop, left = unused(docs, "_id", "_hash", "_drop", "_left")
+    marked = _drops(docs, min_sites, min_chars).withColumnsRenamed({"id": id_, "hash": hash_, "drop": drop})
+    rows = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), hash_: F.xxhash64("text")})
+    rows = rows.join(marked, [id_, hash_], "left")
+    rows = rows.withColumn(left, F.when(F.col(drop).isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col(drop))))
+    new = {"text": F.col(left)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_drop").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(docs.schema["n_chars"].dataType)
-    return rows.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+        new["n_chars"] = F.when(F.col(drop).isNull(), F.col("n_chars")).otherwise(F.length(left)).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
 
 
 def _drops(docs: DataFrame, min_sites: int, min_chars: int) -> DataFrame:
-    """(_id, _hash, _drop): the places of the lines that go, by document."""
+    """(id, hash, drop): the places of the lines that go, by document."""
     lines = line_rows(docs, min_chars)
     often = settled(lines.groupBy("high", "low").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("high", "low"))
     asked = settled(lines.join(small(often), ["high", "low"], "left_semi"))
     spread = settled(spread_lines(asked, min_sites).select("high", "low", "first"))
     gone = asked.join(small(spread), ["high", "low"]).where(F.struct("id", "hash", "at") != F.col("first"))
-    return gone.groupBy(F.col("id").alias("_id"), F.col("hash").alias("_hash")).agg(F.collect_set("at").alias("_drop"))
+    return gone.groupBy("id", "hash").agg(F.collect_set("at").alias("drop"))
 
 
 def _without(text: Column, drop: Column) -> Column:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import LAST_ID, settled
+from monthtide.llm.common import LAST_ID, settled, unused
 from monthtide.llm.components import components
 
 BITS = 64
@@ -126,8 +126,9 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
     All columns are kept. Rows repeated with the same doc_id and text count as one.
     """
     found = near_duplicates(docs, shingle, distance)
-    order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
+    names = unused(docs, "_kept_id", "_kept_hash")
+    order = F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias(names[0]), F.col("text_hash").alias(names[1]))
     keys = found.groupBy("root").agg(F.min(order).alias("k")).select("k.*")
-    rows = docs.withColumns({"_kept_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_kept_hash": F.xxhash64("text")})
-    kept = rows.join(keys, ["_kept_id", "_kept_hash"], "left_semi").dropDuplicates(["_kept_id", "_kept_hash"])
-    return kept.select(*docs.columns)
+    rows = docs.withColumns(dict(zip(names, (F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), F.xxhash64("text")))))
+    kept = rows.join(keys, names, "left_semi").dropDuplicates(names)
+    return kept.select(*(f"`{c}`" for c in docs.columns))
