@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import LAST_ID, bound, settled, small
+from monthtide.llm.common import LAST_ID, bound, settled, small, unused
 
 #: Words that are a unit when they follow a number.
 UNITS = (
@@ -100,7 +100,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: floa
     consistent: each value of the item always became one value of the document, and no two became the same. So a
     question with other names and numbers is caught, and n_changed tells how many of its values differ. Consistent
     must be any one occurrence with that share, or all matched windows together; n_slots and n_changed are those of
-    the consistent occurrence with the fewest changes.
+    the consistent occurrence with the fewest changes. At least a quarter of its tokens must be words or equal values,
+    so that one row of numbers is not taken for another.
 
     It also holds an item of which one consistent occurrence has so many tokens as an excerpt in matched windows, or
     all but one token in eight, less one (one at least; none of an item shorter than a window), if half of these are
@@ -146,10 +147,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: floa
     aligned = settled(aligned.join(runs, [*_PAIR, "run"], "left_semi"))
     checked = _slot_pairs(rows, items, aligned, runs)
     plain = items.select("item_id", "version", F.posexplode(template(F.col("text"))).alias("item_at", "token")).where(~F.col("token").isin(_NUMBER, _UNIT, _NAME))
-    plain = aligned.join(runs.where("n_tokens > 0"), [*_PAIR, "run"], "left_semi").join(small(plain), ["item_id", "version", "item_at"])
-    plain = plain.groupBy(*_PAIR, "run").agg(F.count("*").alias("n_plain"))
-    held = runs.join(checked, [*_PAIR, "run"], "left").join(plain, [*_PAIR, "run"], "left").where(F.coalesce("consistent", F.lit(True)))
-    held = held.where(2 * (F.coalesce("n_plain", F.lit(0)) + F.coalesce("n_same", F.lit(0))) >= F.col("n_tokens"))
+    known = aligned.join(small(plain.withColumn("is_plain", F.lit(True))), ["item_id", "version", "item_at"], "left")
+    known = known.groupBy(*_PAIR, "run").agg(F.count("*").alias("n_all"), F.count("is_plain").alias("n_plain"))
+    held = runs.join(checked, [*_PAIR, "run"], "left").join(known, [*_PAIR, "run"]).where(F.coalesce("consistent", F.lit(True)))
+    equal = F.col("n_plain") + F.coalesce("n_same", F.lit(0))
+    held = held.where((2 * equal >= F.col("n_tokens")) & ((F.col("n_tokens") > 0) | (4 * equal >= F.col("n_all"))))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     best = F.min(F.struct(F.col("run.kind") == 0, count("n_changed"), (-F.coalesce("n_slots", F.lit(0))).alias("slots"))).alias("best")
     held = held.groupBy(*_PAIR).agg(best)
@@ -260,6 +262,7 @@ def _slot_pairs(rows: DataFrame, items: DataFrame, aligned: DataFrame, runs: Dat
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: float = 0.5, excerpt: int = 32) -> DataFrame:
     """The rows of docs that hold no benchmark item, with all their columns."""
     found = leaks(docs, benchmark, window, coverage, excerpt)
-    gone = found.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    rows = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "_hash": F.xxhash64("text")})
-    return rows.join(small(settled(gone)), ["_id", "_hash"], "left_anti").select(*docs.columns)
+    id_, hash_ = unused(docs, "_id", "_hash")
+    gone = found.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias(id_), F.col("text_hash").alias(hash_)).distinct()
+    rows = docs.withColumns({id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), hash_: F.xxhash64("text")})
+    return rows.join(small(settled(gone)), [id_, hash_], "left_anti").select(*(f"`{c}`" for c in docs.columns))
