@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Hashable, Iterable, Sequence
+from dataclasses import dataclass
+from itertools import combinations
 from math import exp, log
 
 import numpy as np
@@ -12,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthtide.llm.common import per_batch
+from monthtide.llm.common import most_frequent, per_batch, settled
 
 #: Labelled rows, at most, from which lexicon and weights are learned.
 SAMPLE_ROWS = 40_000
@@ -22,8 +24,6 @@ LEXICON_SIZE = 20_000
 STEMS = (3, 4, 5, 6)
 #: Documents that a pattern is in at least, and its least weight (log of the ratio of its rates, less 2 / sqrt(documents)).
 LEAST_DOCS, LEAST_WEIGHT = 4, 2.5
-#: The same as a share of the toxic documents.
-LEAST_SHARE = 0.01
 #: Weight above which a word's match is a feature of its own.
 SURE = 4.0
 
@@ -50,19 +50,99 @@ def folded_words(text: str | None) -> list[str]:
     return [w for w in (x.strip(_EDGES) for x in (text or "").lower().split()) if w]
 
 
+#: Words over which a negation reaches; reported speech reaches to the clause's end.
+REACH = 3
+
+#: A word's class with the marks that the transducers before have put on it.
+Symbol = tuple[int, frozenset]
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """States, numbered from 0, where it starts; arcs from (state, symbol read) to (next state, symbol written)."""
+
+    arcs: dict[tuple[int, Hashable], tuple[int, Hashable]]
+
+    def run(self, symbols: Iterable[Hashable]) -> list[Hashable]:
+        """What is written for what is read."""
+        state, out = 0, []
+        for symbol in symbols:
+            state, written = self.arcs[state, symbol]
+            out.append(written)
+        return out
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that writes what second writes for what first writes; it has those pairs of states that are reached."""
+    read = sorted({symbol for state, symbol in first.arcs if state == 0}, key=repr)
+    numbers, arcs, open_pairs = {(0, 0): 0}, {}, [(0, 0)]
+    for pair in open_pairs:
+        for symbol in read:
+            one, passed = first.arcs[pair[0], symbol]
+            two, written = second.arcs[pair[1], passed]
+            if (one, two) not in numbers:
+                numbers[one, two] = len(numbers)
+                open_pairs.append((one, two))
+            arcs[numbers[pair], symbol] = numbers[one, two], written
+    return Transducer(arcs)
+
+
+def _symbols(marks: Iterable[str]) -> list[Symbol]:
+    sets = [frozenset(some) for n in range(len(list(marks)) + 1) for some in combinations(marks, n)]
+    return [(kind, some) for kind in range(_REPORT + 1) for some in sets]
+
+
+def _marked(symbol: Symbol, mark: str, when: bool) -> Symbol:
+    """An insult or threat gets a mark."""
+    return (symbol[0], symbol[1] | {mark}) if when and symbol[0] in (_INSULT, _THREAT) else symbol
+
+
+def negation(reach: int = REACH) -> Transducer:
+    """Marks what comes within reach of a negation; the state is how far the last one still reaches."""
+    return Transducer({
+        (left, symbol): (reach if symbol[0] == _NEGATION else max(0, left - 1), _marked(symbol, "negated", left > 0))
+        for left in range(reach + 1) for symbol in _symbols([])
+    })
+
+
+def after(trigger: int, mark: str, marks: Sequence[str]) -> Transducer:
+    """Marks what comes after a word of the class trigger; it reads symbols with any of these marks."""
+    return Transducer({
+        (seen, symbol): (int(seen or symbol[0] == trigger), _marked(symbol, mark, seen > 0))
+        for seen in (0, 1) for symbol in _symbols(marks)
+    })
+
+
+def verdict(marks: Sequence[str]) -> Transducer:
+    """Writes as what an insult or threat with these marks counts, or nothing."""
+
+    def ways(symbol: Symbol) -> tuple[str, ...]:
+        kind, put = symbol
+        if kind not in (_INSULT, _THREAT):
+            return ()
+        way = "negated" if "negated" in put else "reported" if "reported" in put else "threat" if kind == _THREAT else "plain"
+        return (way, "targeted") if "targeted" in put and way in ("plain", "threat") else (way,)
+
+    return Transducer({(0, symbol): (0, ways(symbol)) for symbol in _symbols(marks)})
+
+
+def clause_transducer() -> Transducer:
+    """From the classes of a clause's words to what each counts as: negation, reported speech and targets, then the verdict."""
+    found = composed(negation(), after(_REPORT, "reported", ["negated"]))
+    found = composed(found, after(_TARGET, "targeted", ["negated", "reported"]))
+    return composed(found, verdict(["negated", "reported", "targeted"]))
+
+
 class Grammar:
-    """The lexicon transducer (words to classes and weights) composed with the clause transducer (classes to a score).
+    """The lexicon transducer (words to classes and weights) composed with the clause transducer (classes to ways to count).
 
-    The clause transducer reads the classes of a clause. Its state says whether a negation or a reported-speech verb
-    stands within reach before, and whether a target was seen; an insult or threat writes its weight, and the state
-    decides whether it counts in full, as negated or as reported.
+    What an insult or threat writes is the weight that the lexicon gives it, under the way that the clause transducer
+    says: in full, as a threat, with a target before it, as negated or as reported.
     """
 
-    #: Words over which a negation reaches; reported speech reaches to the clause's end.
-    REACH = 3
-
     def __init__(self, weights: dict[str, float]) -> None:
         self.weights = weights
+        self.steps = {(state, kind): arc for (state, (kind, _)), arc in clause_transducer().arcs.items()}
         self.heads = {w.rstrip("*")[: STEMS[0]] for w in weights} | {w[: STEMS[0]] for w in _CLASSES}
 
     def read(self, word: str) -> tuple[int, float]:
@@ -74,19 +154,11 @@ class Grammar:
     def clause(self, tokens: list[tuple[int, float]]) -> dict[str, float]:
         """What the clause transducer writes: the weights of its matches by kind."""
         out = dict.fromkeys(("plain", "threat", "targeted", "negated", "reported"), 0.0)
-        negation, report, target = -self.REACH - 1, False, False
-        for at, (kind, weight) in enumerate(tokens):
-            if kind == _NEGATION:
-                negation = at
-            elif kind == _REPORT:
-                report = True
-            elif kind == _TARGET:
-                target = True
-            elif kind in (_INSULT, _THREAT):
-                way = "negated" if at - negation <= self.REACH else "reported" if report else "threat" if kind == _THREAT else "plain"
+        state, steps = 0, self.steps
+        for kind, weight in tokens:
+            state, ways = steps[state, kind]
+            for way in ways:
                 out[way] += weight
-                if target and way in ("plain", "threat"):
-                    out["targeted"] += weight
         return out
 
     def features(self, text: str | None) -> list[float]:
@@ -119,17 +191,29 @@ def held_out(doc_id: Column, folds: int = 3) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 1, F.lit(False))
 
 
+def _sampled(found: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """found, if it has no more than so many rows; else those whose hash is below a limit for somewhat fewer."""
+    n = found.count()
+    if n <= rows:
+        return found
+    span = 2**40
+    return found.where(F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(span)) < int(span * max(0.0, rows - 5 * rows**0.5) / n))
+
+
 def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[Grammar, np.ndarray]:
     """The grammar and the weights of its features, from the labelled documents outside of the held-out fold.
 
-    Of these, at most the given number are used, those of the least hash of doc_id. Half of them, by another hash, give
-    the lexicon: patterns whose rate among toxic documents is a multiple of that among others, each distinct text
+    Of these, at most the given number are used, texts chosen by hashes of doc_id and text. Half of them, by another
+    hash of doc_id, give the lexicon: patterns whose rate among toxic documents is a multiple of that among others, each distinct text
     counted once. The other half give the weights of the clause features, by regularised logistic regression.
     """
     ids = labels.select(F.col("doc_id").cast("long").alias("id"), (F.col("toxic") == 1).alias("toxic")).where("id IS NOT NULL AND toxic IS NOT NULL")
     ids = ids.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").alias("toxic"))
-    chosen = F.broadcast(ids.orderBy(F.xxhash64("id"), "id").limit(rows))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(chosen, "id")
+    # Ids first, then texts, since an id may have many of these; each distinct text of an id is one row.
+    chosen = F.broadcast(settled(_sampled(settled(ids), ["id"], rows)))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(chosen, "id").withColumn("hash", F.xxhash64("text"))
+    distinct_texts = settled(texts.groupBy("id", "toxic", "hash").agg(F.first("text").alias("text")))
+    texts = _sampled(distinct_texts, ["id", "hash"], rows)
     half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2))
     first, second = (texts.where(half == k).select("text", "toxic") for k in (0, 1))
 
@@ -156,8 +240,8 @@ def learned(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tupl
         distinct = first.where(F.col("toxic") == toxic).select("text").groupBy(F.xxhash64("text")).agg(F.first("text").alias("text")).select("text")
         return distinct.mapInArrow(per_batch(patterns(wanted)), "form string, n long").groupBy("form").agg(F.sum("n").alias("n"))
 
-    bad = counts(True, None).where(F.col("n") >= max(LEAST_DOCS, LEAST_SHARE * sizes[True])).orderBy(F.desc("n"), "form").limit(10 * LEXICON_SIZE)
-    bad = {r["form"]: r["n"] for r in bad.collect()}
+    bad = most_frequent(settled(counts(True, None).where(F.col("n") >= LEAST_DOCS)), 10 * LEXICON_SIZE)
+    bad = {r["form"]: r["n"] for r in sorted(bad, key=lambda r: r["form"])}
     good = {r["form"]: r["n"] for r in counts(False, frozenset(bad)).collect()}
     rate = lambda n, of: log((n + 0.5) / (of + 1))
     weights = {f: rate(n, sizes[True]) - rate(good.get(f, 0), sizes[False]) - 2 / n**0.5 for f, n in bad.items()}
