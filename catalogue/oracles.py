@@ -209,6 +209,7 @@ ORACLES["stream_quarantine"] = ORACLES["stream_catch_up"] + " where strftime(o_o
 # Ways and modes that must give what the plain run gives.
 for _same, _as in {
     "monthly_run_shuffled": "monthly_run",
+    "monthly_run_filtered": "monthly_run",
     "run_if_empty": "monthly_run",
     "run_append": "monthly_run",
     "load_report_shuffled": "load_report",

@@ -371,6 +371,11 @@ def monthly_run_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _main_after_runs(spark, sf_dir, runs=1, probe_rows=0)
 
 
+def monthly_run_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same files; the second asks the filters of what main has before main itself."""
+    return _main_after_runs(spark, sf_dir, runs=2, probe_rows=500, filters=True)
+
+
 def run_if_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same files; the second finds every month filled."""
     return _main_after_runs(spark, sf_dir, runs=2, write_mode="if_empty")
@@ -545,6 +550,7 @@ QUERIES: dict[str, Query] = {
         "merge_months_in_order": merge_months_in_order,
         "monthly_run": monthly_run,
         "monthly_run_shuffled": monthly_run_shuffled,
+        "monthly_run_filtered": monthly_run_filtered,
         "run_if_empty": run_if_empty,
         "run_append": run_append,
         "run_recovered": run_recovered,

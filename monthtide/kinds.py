@@ -27,6 +27,7 @@ LEDGER_SUFFIX = "_taxi_loads"
 STAGED_SUFFIX = "_taxi_staged"
 ATTEMPTS_SUFFIX = "_taxi_attempts"
 SCHEMAS_SUFFIX = "_taxi_schemas"
+FILTERS_SUFFIX = "_taxi_filters"
 
 
 @dataclass(frozen=True)
@@ -83,6 +84,11 @@ class Kind:
         """Versions of the schema."""
         return self.name + SCHEMAS_SUFFIX
 
+    @property
+    def filters_table(self) -> str:
+        """Bloom filters of the fingerprints of each load, by pickup month."""
+        return self.name + FILTERS_SUFFIX
+
     @property
     def required(self) -> list[str]:
         return [f.name for f in self.schema if not f.nullable]
