@@ -50,7 +50,7 @@ _BLOCKS_AT_ONCE = 256
 #: Such runs of blocks that a task reads, about, where there are more than tasks that run at a time.
 _RUNS_A_TASK = 32
 #: Pieces whose ids a worker remembers; beyond this it starts again.
-_KNOWN = 400_000
+_KNOWN = 1_000_000
 #: Pieces that the library gets at a time.
 _TOGETHER = 20_000
 #: Bytes of text that are encoded together.
