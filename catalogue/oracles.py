@@ -198,7 +198,7 @@ ORACLES: dict[str, str] = {
 }
 
 ORACLES["run_recovered"] = f"""
-    with r as ({ORACLES["monthly_run"]})
+    with r as ({ORACLES["stream_catch_up"]})
     select r.*, m.write_mode from r cross join (values ('truncate'), ('if_empty'), ('append')) m (write_mode)"""
 ORACLES["load_report_append"] = f"""
     with {_LANDED}

@@ -333,14 +333,14 @@ def _config(spark: SparkSession, purpose: str, **options) -> Config:
     return Config(database=f"runs_{uuid.uuid4().hex}", min_size=1, **folders, **options)
 
 
-def _land_lineitem(spark: SparkSession, sf_dir: str, config: Config, mode: str = "append") -> None:
+def _land_lineitem(spark: SparkSession, sf_dir: str, config: Config) -> None:
     lineitem = table(spark, sf_dir, "lineitem")
     # Files close five days early, so each holds pickups of two months, and
     # returned rows are reported again a month later.
     closing = F.col("l_shipdate") + F.expr("interval 5 days")
     on_time = lineitem.withColumn("_closing", closing)
     again = lineitem.where("l_returnflag = 'R'").withColumn("_closing", F.add_months(closing, 1).cast("timestamp_ntz"))
-    _land(on_time.unionByName(again), "lineitem", "_closing", config.landing, mode)
+    _land(on_time.unionByName(again), "lineitem", "_closing", config.landing)
 
 
 def _land_orders(spark: SparkSession, sf_dir: str, config: Config) -> None:
@@ -450,41 +450,36 @@ class _Died(BaseException):
     """Stands for a driver that is lost: nothing handles it."""
 
 
-def _dying(step: str, calls: int = 1):
-    """A step of the run that dies at its n-th call."""
-    real, done = getattr(monthly_run_module, step), []
+def _dying(step: str) -> Callable:
+    """Stands for a step of the run that never comes to its end."""
 
-    def flaky(*args):
-        done.append(step)
-        if len(done) == calls:
-            raise _Died(step)
-        return real(*args)
+    def died(*_):
+        raise _Died(step)
 
-    return flaky
+    return died
+
+
+#: In each write mode, the step at which a run dies, and that at which the next one does, after a file was replaced.
+_LOST_AT = {"truncate": ("_append", "_record"), "if_empty": ("_merge", "_merge"), "append": ("_merge", "_record")}
 
 
 def _recovered(spark: SparkSession, sf_dir: str, write_mode: str) -> DataFrame:
-    """Main after runs that died while staging, while merging and before the ledger, with a file replaced meanwhile."""
+    """Main after runs that died before staging was noted, while merging or before the ledger."""
     config = _config(spark, "recovered", write_mode=write_mode)
-    span = _span(spark, sf_dir)
+    span, orders = _span(spark, sf_dir), table(spark, sf_dir, "orders")
     # What lands first is a month with other rows, which no load may leave behind.
-    wrong = table(spark, sf_dir, "lineitem").withColumn("l_suppkey", F.lit(-1).cast("bigint"))
-    first = wrong.agg(F.date_format(F.min("l_shipdate"), "yyyy-MM").alias("month")).first()["month"]
-    month = F.date_format("l_shipdate", "yyyy-MM") == first
-    _land(wrong.where(month).withColumn("_closing", F.col("l_shipdate")), "lineitem", "_closing", config.landing)
-    for step, calls in (("_append", 1), ("_merge", 1)):
-        with mock.patch.object(monthly_run_module, step, _dying(step, calls)), contextlib.suppress(_Died):
-            run(spark, [LINEITEM], config, *span).collect()
-    _land_lineitem(spark, sf_dir, config, mode="overwrite")
-    for step in ("_merge", "_record"):
+    first = orders.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM").alias("month")).first()["month"]
+    wrong = orders.where(F.date_format("o_orderdate", "yyyy-MM") == first).withColumn("o_custkey", F.lit(-1).cast("bigint"))
+    for landed, step in zip((wrong, orders), _LOST_AT[write_mode]):
+        _land(landed, "orders", "o_orderdate", config.landing, mode="overwrite")
         with mock.patch.object(monthly_run_module, step, _dying(step)), contextlib.suppress(_Died):
-            run(spark, [LINEITEM], config, *span).collect()
-    run(spark, [LINEITEM], config, *span).collect()
-    return zoneless(spark.table(f"{config.database}.{LINEITEM.main_table}")).withColumn("write_mode", F.lit(write_mode))
+            run(spark, [ORDERS], config, *span).collect()
+    run(spark, [ORDERS], config, *span).collect()
+    return zoneless(spark.table(f"{config.database}.{ORDERS.main_table}")).withColumn("write_mode", F.lit(write_mode))
 
 
 def run_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [_recovered(spark, sf_dir, mode) for mode in ("truncate", "if_empty", "append")]
+    parts = [_recovered(spark, sf_dir, mode) for mode in _LOST_AT]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
