@@ -50,18 +50,38 @@ def _slots(text: Column, tokens: Column) -> Column:
     return bound(values, lambda v: F.transform(places, lambda at, i: F.struct(at.alias("at"), F.lower(F.get(v, i)).alias("value"))))
 
 
-def _windows(tokens: Column, *lengths: int | Column) -> Column:
-    """(at, w) of all windows of these lengths: where they start and their hashes."""
-    none = F.array().cast("array<struct<at: int, w: bigint>>")
+def _window_hash(tokens: Column, start: Column, length: int | Column) -> Column:
+    """Of the tokens from a place (counted from 1) on: the hash of those of its first half and those of the rest."""
+    half = F.floor(length / 2).cast("int") if isinstance(length, Column) else F.lit(length // 2)
+    return F.xxhash64(F.xxhash64(F.slice(tokens, start, half)), F.xxhash64(F.slice(tokens, start + half, length - half)))
 
-    def of(length: int | Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tokens) - (length - 1))
-        hashed = F.transform(starts, lambda i: F.struct((i - 1).alias("at"), F.xxhash64(F.slice(tokens, i, length)).alias("w")))
-        return F.when((F.size(tokens) < length) | (F.size(tokens) == 0), none).otherwise(hashed)
+
+def _windows(tokens: Column, length: int | Column) -> Column:
+    """(at, w) of all windows of a length: where they start and their hashes."""
+    starts = F.sequence(F.lit(1), F.size(tokens) - (length - 1))
+    hashed = F.transform(starts, lambda i: F.struct((i - 1).alias("at"), _window_hash(tokens, i, length).alias("w")))
+    return F.when((F.size(tokens) < length) | (F.size(tokens) == 0), F.array().cast(_PLACED)).otherwise(hashed)
+
+
+def _all_windows(tokens: Column, lengths: list[int]) -> Column:
+    """The windows of several lengths; runs of one length, of which two make up a window, are hashed once for all places."""
+
+    def of(length: int) -> Column:
+        half = length // 2
+        if length % 2 or not half:
+            return _windows(tokens, length)
+        runs = F.transform(F.sequence(F.lit(1), F.size(tokens) - (half - 1)), lambda i: F.xxhash64(F.slice(tokens, i, half)))
+        pairs = lambda r: F.transform(
+            F.sequence(F.lit(0), F.size(r) - half - 1), lambda i: F.struct(i.alias("at"), F.xxhash64(F.get(r, i), F.get(r, i + half)).alias("w"))
+        )
+        return F.when(F.size(tokens) < length, F.array().cast(_PLACED)).otherwise(bound(runs, pairs))
 
     return F.concat(*map(of, lengths))
 
 
+_PLACED = "array<struct<at: int, w: bigint>>"
+
+
 def _changes(window: int) -> Column:
     """How many of the n tokens of an item a near copy may have changed: a window stays whole wherever these are."""
     return F.when(F.col("n") < window, 0).otherwise(F.greatest(F.lit(1), F.floor(F.col("n") / window) - 1))
@@ -123,7 +143,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, coverage: floa
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("text_hash"), "text"
     )
     lengths = sorted(r["length"] for r in places.select("length").distinct().collect()) or [window]
-    grams = rows.select("id", "text_hash", F.inline(bound(template(F.col("text")), lambda t: _windows(t, *lengths))))
+    grams = rows.select("id", "text_hash", F.inline(bound(template(F.col("text")), lambda t: _all_windows(t, lengths))))
     hits = settled(grams.join(small(item_windows), "w").select("id", "text_hash", "at", "item_id", "version", "item_at", "w", "length", "n_places"))
     long = hits.where(F.col("length") == window)
     pairs = long.select(*_PAIR, "w", "n_places").distinct().groupBy(*_PAIR).agg(F.count("*").alias("n_matched"), F.sum("n_places").alias("n_places"))
