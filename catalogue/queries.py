@@ -470,8 +470,8 @@ def _recovered(spark: SparkSession, sf_dir: str, write_mode: str) -> DataFrame:
     # What lands first is a month with other rows, which no load may leave behind.
     first = orders.agg(F.date_format(F.min("o_orderdate"), "yyyy-MM").alias("month")).first()["month"]
     wrong = orders.where(F.date_format("o_orderdate", "yyyy-MM") == first).withColumn("o_custkey", F.lit(-1).cast("bigint"))
-    for landed, step in zip((wrong, orders), _LOST_AT[write_mode]):
-        _land(landed, "orders", "o_orderdate", config.landing, mode="overwrite")
+    for landed, mode, step in zip((wrong, orders), ("append", "overwrite"), _LOST_AT[write_mode]):
+        _land(landed, "orders", "o_orderdate", config.landing, mode)
         with mock.patch.object(monthly_run_module, step, _dying(step)), contextlib.suppress(_Died):
             run(spark, [ORDERS], config, *span).collect()
     run(spark, [ORDERS], config, *span).collect()
