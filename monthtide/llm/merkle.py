@@ -30,6 +30,8 @@ Path = list[tuple[list[str], list[str]]]
 
 _PATH = "array<struct<before: array<string>, after: array<string>>>"
 _PATH_TYPE = pa.list_(pa.struct([("before", pa.list_(pa.string())), ("after", pa.list_(pa.string()))]))
+#: Groups whose paths, of up to some kilobytes each, are broadcast at most.
+_FEW_GROUPS = 10_000
 _IN_PART = 33  # bits of monotonically_increasing_id that count rows within a partition
 
 
@@ -207,7 +209,7 @@ def manifest(rows: DataFrame) -> DataFrame:
     ranked = settled(_numbered(subroots, [F.col("name").asc_nulls_first()]))
     over = _paths(ranked.drop("name")).select("at", F.col("path").alias("_over"), F.col("root").alias("top"))
     named = ranked.select("at", "name").join(over, "at").select("name", "_over", "top")
-    joined = below.join(small(named), F.col("group").eqNullSafe(F.col("name")))
+    joined = below.join(small(named, _FEW_GROUPS), F.col("group").eqNullSafe(F.col("name")))
     paths = joined.select("group", "at", F.concat("path", "_over").alias("path"), F.col("root").alias("subroot"), F.col("top").alias("root"))
 
     def work(table: pa.Table, above: Path, told: dict) -> pa.Table:
