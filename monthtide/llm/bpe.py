@@ -28,7 +28,7 @@ from monthtide.llm.common import most_frequent, settled, slices, tidy
 LEXICON_WORDS = 1 << 15
 #: Distinct pieces that a task remembers at once, and bytes of texts that it encodes at once.
 _KNOWN = 1 << 19
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 #: Pieces that are merged together, and bytes beyond which a piece is merged alone, by a heap.
 _TOGETHER = 1 << 15
 _LONG = 64
