@@ -374,3 +374,19 @@ def test_toxicity_learns_words_and_stems_and_reads_clauses(spark):
     assert grammar.read("snarlx") == (toxicity._INSULT, 4.0)
     assert toxicity.toxicity(docs, given.limit(0)).where("score != 0.5").count() == 0
     assert toxicity.toxicity(docs.limit(0), given).count() == 0
+
+
+def test_toxicity_ranks_held_out_texts_after_few_labels(spark):
+    rng = random.Random(8)
+    plain = [f"{a}{b}" for a in ("lor", "mip", "tov", "ren", "sal") for b in ("an", "ek", "ul", "os", "im")]
+    rows = []
+    for k in range(120):
+        words = [rng.choice(plain) for _ in range(25)]
+        if k % 8 == 0:
+            words[rng.randrange(25)] = rng.choice(("grumbo", "snarlix"))
+        rows.append((k, " ".join(words), int(k % 8 == 0)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, t) for k, _, t in rows], "doc_id long, toxic int")
+    held = [r for r in toxicity.toxicity(docs, labels).collect() if r.held_out]
+    bad, good = ([r.score for r in held if (r.doc_id % 8 == 0) == want] for want in (True, False))
+    assert bad and good and min(bad) > max(good)
