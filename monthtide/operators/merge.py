@@ -21,8 +21,9 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from monthtide.session import stored
 
@@ -54,6 +55,30 @@ def _seen_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(_SEEN + k) for k in keys])
 
 
+def packed(key: Column) -> Column:
+    """A text key as bytes, a fingerprint in half its length; different keys have different bytes."""
+    raw = key.cast("binary")
+    # Marked by its end, and never 32 bytes long.
+    other = F.concat(raw, F.when(F.length(raw) == 31, F.lit(b"\2\2")).otherwise(F.lit(b"\1")))
+    return F.when(key.rlike(r"\A[0-9a-f]{64}\z"), F.unhex(key)).otherwise(other)
+
+
+def unpacked(key: Column) -> Column:
+    """The text of a packed key."""
+    marks = F.when(F.substring(key, -1, 1) == F.lit(b"\2"), 2).otherwise(1)
+    other = F.substring(key, F.lit(1), F.length(key) - marks).cast("string")
+    return F.when(F.length(key) == 32, F.lower(F.hex(key))).otherwise(other)
+
+
+def _texts(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [k for k in keys if isinstance(df.schema[k].dataType, T.StringType)]
+
+
+def with_packed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with those of the keys packed that are texts."""
+    return df.withColumns({k: packed(F.col(k)) for k in _texts(df, keys)})
+
+
 def first_seen(
     main: DataFrame, keys: Sequence[str], rivals: DataFrame | None = None, order: str | None = None
 ) -> DataFrame:
@@ -143,6 +168,18 @@ def unseen(
     return _spread(rows, seen, keys, alike, lambda part, entries: _anti(part, entries, keys, order))
 
 
+def unseen_packed(batch: DataFrame, main: DataFrame, key: str, rank: str) -> DataFrame:
+    """Packed keys that a merge inserts, each with the rank of the rows that bring it.
+
+    ``batch`` has the packed ``key`` and an int ``rank`` above 1: twice the load's number, and one more for rows that
+    may only rule out later ones. ``main`` has the key as text. All sides meet in one aggregation, which reduces copies
+    before they are shuffled and, the rank being a number, hashes and does not sort.
+    """
+    before = main.select(packed(F.col(key)).alias(key), F.lit(0).alias(rank))
+    first = before.unionByName(batch.select(key, rank)).where(F.col(key).isNotNull()).groupBy(key).agg(F.min(rank).alias(rank))
+    return first.where((F.col(rank) > 0) & (F.col(rank) % 2 == 0)).select(F.col(key).alias(_SEEN + key), F.col(rank).alias(_FIRST))
+
+
 def unseen_keys(
     rows: DataFrame, main: DataFrame, keys: Sequence[str], rivals: DataFrame | None = None, order: str | None = None
 ) -> DataFrame:
@@ -165,7 +202,7 @@ def rows_of_keys(
     alike: Sequence[str] | None = None,
     few: bool = False,
 ) -> DataFrame:
-    """Rows whose key is in ``wanted``, a result of :func:`unseen_keys`.
+    """Rows whose key is in ``wanted``, a result of :func:`unseen_keys` or :func:`unseen_packed`.
 
     ``few`` says that ``wanted`` is known by count to be small enough to
     broadcast; ``rows`` are not shuffled then.
@@ -240,14 +277,18 @@ def merge_insert(
     stored first if it is costly to compute.
     """
     _check_key_types(batch, main, keys)
-    seen = first_seen(main, keys, batch if order is not None else None, order)
-    return _as_main(unseen(batch, seen, keys, order, alike), main, insert_columns)
+    rows = with_packed(batch, keys)
+    seen = first_seen(with_packed(main, keys), keys, rows if order is not None else None, order)
+    new = unseen(rows, seen, keys, order, alike).withColumns({k: unpacked(F.col(k)) for k in _texts(batch, keys)})
+    return _as_main(new, main, insert_columns)
 
 
 def new_keys(batch: DataFrame, main: DataFrame, keys: Sequence[str] = ("trip_hash",)) -> DataFrame:
     """Distinct batch keys that are not in main. Reads the key columns only."""
     _check_key_types(batch, main, keys)
-    return _anti(batch.select(*keys).distinct(), first_seen(main, keys), keys, None)
+    named, seen = (with_packed(df.select(*keys), keys) for df in (batch, main))
+    found = _anti(named.distinct(), first_seen(seen, keys), keys, None)
+    return found.withColumns({k: unpacked(F.col(k)) for k in _texts(batch, keys)})
 
 
 def has_new(batch: DataFrame, main: DataFrame, keys: Sequence[str] = ("trip_hash",)) -> bool:

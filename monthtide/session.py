@@ -83,7 +83,8 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` read back from a table in the work folder: computed once, and its
-    lineage cut there, so that a lost executor does not mean doing it again."""
+    lineage cut there, so that a lost executor does not mean doing it again.
+    Fingerprints, digits of 4 bits each, take half the room by this compression."""
     folder = work_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

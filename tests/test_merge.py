@@ -10,6 +10,7 @@ from monthtide import YELLOW, fingerprint, has_new, merge_insert
 from monthtide.operators import (
     first_seen,
     heavy_keys,
+    merge,
     new_keys,
     rows_of_keys,
     unseen,
@@ -182,3 +183,32 @@ def test_the_list_of_heavy_keys_is_read_and_not_found_again(spark):
     batch = spark.range(9_000).select(key.alias("k"))
     plan = merge_insert(batch, batch.where("k <> 'hot'"), keys=["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert "approx_top_k" not in plan and "heavy_keys" in plan or "_heavy" in plan
+
+
+def test_packed_keys_differ_as_their_texts_do_and_come_back(spark):
+    hashed = "0123456789abcdef" * 4
+    texts = ["", "a", "a" * 31, "a" * 31 + "\2", "a" * 30 + "\2", "a" * 32, "a" * 31 + "\1", hashed, hashed.upper(), hashed[:-1], hashed + "\n", "ü" * 16]
+    rows = spark.createDataFrame([(t,) for t in texts], "k string").withColumn("p", merge.packed(F.col("k")))
+    found = rows.withColumn("back", merge.unpacked(F.col("p"))).collect()
+    assert [r.back for r in found] == texts
+    assert len({bytes(r.p) for r in found}) == len(texts)
+    assert [len(r.p) for r in found if r.k == hashed] == [32]
+
+
+def test_a_merge_shuffles_fingerprints_as_bytes(spark):
+    hashed = lambda n: [(f"{k:064x}", k) for k in range(n)]
+    batch, main_rows = (spark.createDataFrame(hashed(n), "trip_hash string, v int") for n in (30, 20))
+    new = merge_insert(batch, main_rows)
+    assert "unhex" in new._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.trip_hash for r in new.collect()) == [f"{k:064x}" for k in range(20, 30)]
+
+
+def test_first_loads_meet_in_one_aggregation_that_does_not_sort(spark):
+    hashed = lambda k: f"{k:064x}"
+    main_rows = spark.createDataFrame([(hashed(1),), (None,), ("other",)], "k string")
+    rows = [(1, 4), (2, 4), (2, 6), (3, 5), (3, 6), (4, 6), (4, 6)]
+    batch = spark.createDataFrame([(bytes.fromhex(hashed(k)), rank) for k, rank in rows], "k binary, r int")
+    found = merge.unseen_packed(batch, main_rows, "k", "r")
+    assert sorted((int(bytes(a).hex(), 16), b) for a, b in found.collect()) == [(2, 4), (4, 6)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Join" not in plan
