@@ -140,6 +140,16 @@ def _first_of_each(parts: list[tuple], hashes: int) -> tuple[list[np.ndarray], n
     return [c[first[by_place]] for c in columns], count[by_place]
 
 
+def _runs(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns of the first row of each run, and all rows' offsets by run: rows one after another, whose last column grows by one and whose others are equal."""
+    new = np.ones(len(columns[-1]), bool)
+    new[1:] = columns[-1][1:] != columns[-1][:-1] + 1
+    for c in columns[:-1]:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.append(first, len(new))
+
+
 def _levels(window: int, base: int) -> list[int]:
     found = [base]
     while found[-1] * 2 < window:
@@ -178,8 +188,10 @@ def _singles(rows: DataFrame, lists: dict[str, DataFrame], window: int, done: li
             yield pa.RecordBatch.from_arrays(columns, ["h", "n", *KEY, "at"])
 
     anchors = _with_lists(rows, lists).mapInArrow(per_batch(emit), "h long, n int, id long, tag long, tag2 long, at int")
-    alone = anchors.groupBy("h").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in (*KEY, "at"))).where("n = 1")
-    return alone.groupBy(*KEY).agg(F.collect_list("at").alias("at"))
+    # the sum, mostly one, comes last: between columns that differ it would take more room in the shuffle
+    alone = anchors.groupBy("h").agg(*(F.min(c).alias(c) for c in (*KEY, "at")), F.sum("n").alias("n")).where("n = 1").select(*KEY, "at")
+    # the more partitions there are, the fewer positions of a document are in one: lists are made after the shuffle only
+    return alone.repartition(*KEY).groupBy(*KEY).agg(F.collect_list("at").alias("at"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFrame:
@@ -190,6 +202,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFra
     occurrences at one length are single can't repeat at the next, so only what repeats is extended to twice the
     length, and at the last length the first occurrence of each window left is found. All levels count every document;
     each moves only the least hash of the candidate windows around it, and sums by hash before and after the shuffle.
+    The last moves the windows' hashes, those of windows one after another that have one anchor in one row.
     At the last length windows are told apart by 128 bits: two hashes of 64, of all their words and of their anchor.
 
     Null and empty texts have no words. A null doc_id counts as the largest. Rows with the same doc_id and different
@@ -210,14 +223,17 @@ def remove_repeats(docs: DataFrame, window: int = 20, base: int = 10) -> DataFra
                 at, anchor, hashes = doc.whole()
                 parts.append((anchor.view(np.int64), hashes.view(np.int64), *(np.full(len(at), k) for k in key), at))
         if parts:
-            found, _ = _first_of_each(parts, 2)
-            types = (*[pa.int64()] * 5, pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(found, types)], ["anchor", "hash", *KEY, "at"])
+            (anchor, hashes, *place), _ = _first_of_each(parts, 2)
+            found, offsets = _runs([anchor, *place])
+            columns = [pa.array(x, t) for x, t in zip(found, (*[pa.int64()] * 4, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hashes)], ["anchor", *KEY, "at", "hashes"])
 
-    kind = "anchor long, hash long, id long, tag long, tag2 long, at int"
+    kind = "anchor long, id long, tag long, tag2 long, at int, hashes array<long>"
     whole = _with_lists(rows, lists).mapInArrow(per_batch(emit), kind)
-    # each batch has one row per window, so nothing is left to sum before the shuffle; windows of one anchor stay together
-    first = whole.repartition("anchor").groupBy("anchor", "hash").agg(F.min(F.struct(*KEY, "at")).alias("at")).select("at.*")
+    # each batch has a window once, so nothing is left to sum before the shuffle; windows of one anchor stay together,
+    # and those that start one after another are one row, which has their anchor and place once
+    whole = whole.repartition("anchor").select("anchor", *KEY, "at", F.posexplode("hashes").alias("next", "hash"))
+    first = whole.groupBy("anchor", "hash").agg(F.min(F.struct(*KEY, (F.col("at") + F.col("next")).alias("at"))).alias("at")).select("at.*")
     first = first.groupBy(*KEY).agg(F.collect_list("at").alias("at"))
 
     def rest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,54 @@ def test_equal_short_tags_lose_no_repeats(spark):
     assert sorted(r.n_removed for r in found) == [0] + [25] * 59
 
 
+def test_documents_of_unique_ids_need_no_tags(spark, monkeypatch):
+    """The tags of 128 bits are in each row of a shuffle, so only ids that are null or found again have them."""
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (3, "d"), (3, "d"), (None, "e"), (None, None), (common.LAST_ID, "f"), (4, None)], "doc_id long, text string")
+    found = common.keyed(docs).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in found) == sorted((r.doc_id or 0, r.text or "") for r in docs.collect())
+    assert sorted(r.id for r in found if (r.tag, r.tag2) == (0, 0)) == [1, 2, 4]
+    assert len({tuple(r[c] for c in common.KEY) for r in found}) == 8
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)  # more ids found again than can be broadcast
+    assert not [r for r in common.keyed(docs).collect() if (r.tag, r.tag2) == (0, 0)]
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_repeats_among_documents_of_one_id(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+    rng = random.Random(most)
+    shared = " ".join(f"s{rng.randrange(10**6)}" for _ in range(25))
+    texts = [f"{' '.join(f'x{rng.randrange(10**6)}' for _ in range(30))} {shared} {k}" for k in range(8)]
+    docs = spark.createDataFrame(list(zip([7, 5, 5, 5, 6, None, None, 9], texts)) + [(7, texts[0])], "doc_id long, text string")
+    found = sorted((r.doc_id or 10, r.n_removed) for r in substring.remove_repeats(docs).collect())
+    assert found == [(5, 0), (5, 25), (5, 25), (6, 25), (7, 25), (7, 25), (9, 25), (10, 25), (10, 25)]
+
+
+def test_windows_one_after_another_are_one_row():
+    """A row of the last level has the anchor and the place of its windows once; rows of one window each took twice the room."""
+    rows = [(1, 5, 0), (1, 5, 1), (1, 5, 2), (1, 6, 3), (2, 6, 4), (2, 6, 6), (2, 6, 7), (2, 6, 7)]
+    columns, offsets = substring._runs([np.array(c) for c in zip(*rows)])
+    assert list(zip(*(c.tolist() for c in columns))) == [(1, 5, 0), (1, 6, 3), (2, 6, 4), (2, 6, 6), (2, 6, 7)]
+    assert offsets.tolist() == [0, 3, 4, 5, 7, 8]
+
+
+def test_many_repeated_windows_equal_brute_force(spark):
+    """Runs that are broken by windows found before in a batch, in one document too."""
+    rng = random.Random(11)
+    passages = [" ".join(f"p{rng.randrange(9)}" for _ in range(rng.randrange(20, 70))) for _ in range(5)]
+    texts = [" ".join(rng.choice([*passages, f"o{rng.randrange(99)}"]) for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    first, wanted = {}, []
+    for k, t in enumerate(texts):
+        w = t.split()
+        for s in range(len(w) - 19):
+            first.setdefault(tuple(w[s : s + 20]), (k, s))
+    for k, t in enumerate(texts):
+        w = t.split()
+        gone = {p for s in range(len(w) - 19) if first[tuple(w[s : s + 20])] != (k, s) for p in range(s, s + 20)}
+        wanted.append((k, len(w), len(gone), " ".join(x for p, x in enumerate(w) if p not in gone)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    assert sorted(map(tuple, substring.remove_repeats(docs).collect())) == wanted
+
+
 CLASHING = "doc_id long, text string, source string, n_chars long, _id double, _hash string, _text string, _drop int, _left int, _ID_ int, _kept_id double, _kept_hash int, `a.b` int"
 
 
