@@ -212,3 +212,19 @@ def test_first_loads_meet_in_one_aggregation_that_does_not_sort(spark):
     assert sorted((int(bytes(a).hex(), 16), b) for a, b in found.collect()) == [(2, 4), (4, 6)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Join" not in plan
+
+
+def test_heavy_keys_are_told_by_the_comparison_itself(spark):
+    """Inserted or not: rows of keys that main has are not sent to one task either."""
+    hashed = lambda k: f"{k:064x}"
+    main_rows = spark.createDataFrame([(hashed(1),)] * 9 + [(None,)], "k string")
+    ranks = [(1, 4)] * 3 + [(2, 4)] * 2 + [(3, 4)] * 3 + [(3, 6)] + [(4, 5)] * 3 + [(4, 6)] * 2 + [(5, 7)] * 4
+    batch = spark.createDataFrame([(bytes.fromhex(hashed(k)), rank) for k, rank in ranks], "k binary, r int")
+    told = merge.unseen_packed(batch, main_rows, "k", "r", heavy_from=3)
+    wanted, heavy = merge.wanted_among(told), merge.heavy_among(told)
+    number = lambda key: int(bytes(key).hex(), 16)
+    assert sorted((number(k), r) for k, r in wanted.collect()) == [(2, 4), (3, 4)]
+    assert sorted(number(k) for (k,) in heavy.collect()) == [1, 3]
+    rows = rows_of_keys(batch, wanted, ["k"], "r", heavy=heavy)
+    assert "approx_top_k" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert Counter((number(k), r) for k, r in rows.collect()) == Counter({(2, 4): 2, (3, 4): 3})

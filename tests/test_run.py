@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from monthtide import GREEN, YELLOW, run
 from monthtide.operators import append_rows, ensure_database, ensure_table, partitions
-from monthtide.plans import monthly_run
-from monthtide.plans.monthly_merge import Cell, split_cells
+from monthtide.operators import merge
+from monthtide.plans import monthly_merge, monthly_run
+from monthtide.plans.monthly_merge import Cell, profile, split_cells
+from monthtide.sources import checksums
 from tests.trips import config, frame, land, trip
 
 JUNE_30, JULY_5, AUGUST_9 = datetime(2025, 6, 30, 23), datetime(2025, 7, 5), datetime(2025, 8, 9)
@@ -319,3 +321,50 @@ def test_a_transient_error_costs_and_doubles_nothing(spark, monkeypatch, mode, s
     assert go(spark, where)["yellow", "202507"] == ("loaded", None, 3, 3)
     assert go(spark, where).get(("yellow", "202507"), ("skipped",))[0] == "skipped"
     assert main(spark, where).count() == 3
+
+
+def test_no_pass_over_the_rows_looks_for_heavy_keys(spark, monkeypatch):
+    """A third of the rows are one trip, of which August's file has more copies."""
+    monkeypatch.setattr(merge, "heavy_keys", None)
+    where = config(spark, probe_rows=0)
+    july, august = ([trip(pickup=JULY_5)] * 10 + [trip(pickup=JULY_5, VendorID=v) for v in some] for some in (range(2, 22), range(12, 32)))
+    land(frame(spark, july), YELLOW, "2025-07", where)
+    land(frame(spark, [*august, *[trip(pickup=JUNE_30)] * 7]), YELLOW, "2025-08", where)
+    assert go(spark, where)["yellow", "202508"] == ("loaded", None, 37, 17)
+    assert Counter(ids(spark, where).values()) == Counter({1: 30, 10: 1, 7: 1})
+
+
+@pytest.mark.parametrize("most_bytes", [0, 10**9])
+def test_large_files_are_counted_and_digested_in_scans_of_their_own(spark, monkeypatch, most_bytes):
+    monkeypatch.setattr(monthly_run, "_OBSERVED_BYTES", most_bytes)
+    scanned = []
+    real = monthly_run.observed
+    monkeypatch.setattr(monthly_run, "observed", lambda scan, months, *a: scanned.append(months) or real(scan, months, *a))
+    where = config(spark, write_mode="append")
+    paths = [land(frame(spark, [trip(VendorID=v) for v in range(n)]), YELLOW, m, where) for m, n in (("2025-07", 3), ("2025-08", 5))]
+    land(frame(spark, []), YELLOW, "2025-06", where)
+    for _ in range(2):
+        done = go(spark, where, first="2025-06", refresh="all")
+    assert [done["yellow", f"20250{k}"][2] for k in (6, 7, 8)] == [0, 3, 5]
+    assert scanned == 2 * ([["202506"], ["202507"], ["202508"]] if not most_bytes else [["202506", "202507", "202508"]])
+    ledger = spark.table(f"{where.database}.{YELLOW.ledger_table}").where("load_id like '%-1'")
+    noted = {r.file_name: r.checksum for r in ledger.collect() if r.load_month != "202506"}
+    assert noted == {r.path.rsplit("/", 1)[1]: r.checksum for r in checksums(spark, paths).collect()}
+    ids_staged = spark.table(f"{where.database}.{YELLOW.staging_table}").groupBy("load_month", "load_id").count().collect()
+    assert {(r.load_month, r.load_id): r["count"] for r in ids_staged} == {(m, m + s): n for m, n in (("202507", 3), ("202508", 5)) for s in ("", "-1")}
+
+
+def test_only_loads_that_are_split_are_told_by_the_month_of_each_row(spark):
+    rows = [("202507", 1, JULY_5), ("202507", 2, JUNE_30), ("202508", 3, JULY_5), ("202508", 4, AUGUST_9), ("202508", 5, None)]
+    staged = spark.createDataFrame(rows, "load_month string, VendorID long, tpep_pickup_datetime timestamp")
+    staged = staged.withColumns({c: F.lit("x") for c in YELLOW.required if c not in staged.columns})
+    cells = profile(staged, YELLOW)
+    staged = staged.withColumn("pickup_month", monthly_merge.month_key(F.col(YELLOW.pickup)))
+    found = lambda some: monthly_merge._in_cells(staged, some, YELLOW.pickup, cells)
+    for k in range(1 << len(cells)):
+        some = [c for n, c in enumerate(cells) if k >> n & 1]
+        wanted = {(c.load_month, c.pickup_month) for c in some}
+        if some:
+            assert {(r.load_month, r.pickup_month) for r in found(some).collect()} == wanted
+    whole = found([c for c in cells if c.load_month == "202507"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat" not in whole.split("LocalRelation")[0].split("Filter")[-1]
